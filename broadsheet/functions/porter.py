@@ -1,15 +1,18 @@
-"""Porter stemming (M. F. Porter, 1980) as staged column expressions.
+"""Porter stemming (M. F. Porter, 1980) as a column expression.
 
-Every step is one projection, so the work stays in generated code and needs no lookup table, no
-vocabulary pass and no shuffle. Regular expressions run only for words whose suffix matched.
+The steps are bound one after the other inside the row, which needs no lookup table, no vocabulary
+pass and no shuffle. Stems are measured only for words whose suffix matched.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Iterable
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .fixed_values import PORTER_STEP_2, PORTER_STEP_3, PORTER_STEP_4
+from .text import bind
 
 _VOWEL = "[aeiouy]"
 _CONSONANTS = "[^aeiou][^aeiouy]*"
@@ -21,7 +24,7 @@ MEASURE_OVER_1 = f"^({_CONSONANTS})?{_VOWELS}{_CONSONANTS}{_VOWELS}{_CONSONANTS}
 SHORT_SYLLABLE = f"^{_CONSONANTS}{_VOWEL}[^aeiouwxy]$"
 
 
-def longest_first(suffixes):
+def longest_first(suffixes: Iterable[str]) -> list[str]:
     return sorted(suffixes, key=lambda s: (-len(s), s))
 
 
@@ -29,82 +32,78 @@ def _cut(word: Column, n: int) -> Column:
     return F.substring(word, F.lit(1), F.greatest(F.length(word) - n, F.lit(0)))
 
 
-def _replace_suffix(word: Column, rules: dict[str, str], condition: str) -> Column:
-    """Pick the longest matching suffix; replace it when the remaining stem meets the condition."""
-    chain = None
-    for suffix in longest_first(rules):
-        stem = _cut(word, len(suffix))
-        outcome = F.when(
-            stem.rlike(condition), F.concat(stem, F.lit(rules[suffix]))
-        ).otherwise(word)
-        chain = (chain.when if chain is not None else F.when)(word.endswith(suffix), outcome)
-    return chain.otherwise(word)
+def _on_suffix(
+    word: Column, suffixes: Iterable[str], change: Callable[[Column], Column]
+) -> Column:
+    """``change(stem)`` for a word with one of the suffixes (the longest), else the word."""
+    suffixes = "|".join(suffixes)
+    stem = F.regexp_extract(word, f"(?s)^(.*?)(?:{suffixes})$", 1)
+    return F.when(word.rlike(f"(?:{suffixes})$"), bind(stem, change)).otherwise(word)
+
+
+def _rest(word: Column, stem: Column) -> Column:
+    return F.substring(word, F.length(stem) + 1, F.lit(1 << 30))
 
 
 def _plural(w: Column) -> Column:
-    return (
+    return F.when(w.endswith("s"), (
         F.when(w.endswith("sses") | (w.endswith("ies") & (F.length(w) > 3)), _cut(w, 2))
-        .when(w.endswith("s") & ~w.endswith("ss") & (F.length(w) > 2), _cut(w, 1))
+        .when(~w.endswith("ss") & (F.length(w) > 2), _cut(w, 1))
         .otherwise(w)
-    )
+    )).otherwise(w)
 
 
 def _past_or_gerund(w: Column) -> Column:
-    """Word with ``ed`` or ``ing`` removed and a ``+`` appended where the clean-up is due."""
     eed = F.when(_cut(w, 3).rlike(MEASURE_OVER_0), _cut(w, 1)).otherwise(w)
 
-    def strip(n: int) -> Column:
-        return F.when(
-            _cut(w, n).rlike(HAS_VOWEL), F.concat(_cut(w, n), F.lit("+"))
-        ).otherwise(w)
+    def strip(stem: Column) -> Column:
+        return F.when(stem.rlike(HAS_VOWEL), _tidy(stem)).otherwise(w)
 
-    return (
-        F.when(w.endswith("eed"), eed)
-        .when(w.endswith("ed"), strip(2))
-        .when(w.endswith("ing"), strip(3))
-        .otherwise(w)
-    )
+    return F.when(w.endswith("eed"), eed).otherwise(_on_suffix(w, ("ed", "ing"), strip))
 
 
-def _tidy(w: Column) -> Column:
-    stem = _cut(w, 1)
-    last = F.right(stem, F.lit(1))
-    doubled = (F.substring(stem, -2, 1) == last) & (F.length(stem) > 1) & ~last.rlike("[aeiouylsz]")
+def _tidy(stem: Column) -> Column:
     return (
-        F.when(~w.endswith("+"), w)
-        .when(stem.endswith("at") | stem.endswith("bl") | stem.endswith("iz"),
-              F.concat(stem, F.lit("e")))
-        .when(doubled, _cut(stem, 1))
+        F.when(stem.rlike("(?:at|bl|iz)$"), F.concat(stem, F.lit("e")))
+        .when(stem.rlike(r"([^aeiouylsz])\1$"), _cut(stem, 1))
         .when(stem.rlike(SHORT_SYLLABLE), F.concat(stem, F.lit("e")))
         .otherwise(stem)
     )
 
 
 def _final_y(w: Column) -> Column:
-    stem = _cut(w, 1)
     return F.when(
-        w.endswith("y") & stem.rlike(HAS_VOWEL), F.concat(stem, F.lit("i"))
+        w.endswith("y") & _cut(w, 1).rlike(HAS_VOWEL), F.concat(_cut(w, 1), F.lit("i"))
     ).otherwise(w)
 
 
+def _replace_suffix(w: Column, rules: dict[str, str]) -> Column:
+    table = F.create_map(*(F.lit(x) for rule in rules.items() for x in rule))
+
+    def change(stem: Column) -> Column:
+        return F.when(
+            stem.rlike(MEASURE_OVER_0), F.concat(stem, F.element_at(table, _rest(w, stem)))
+        ).otherwise(w)
+
+    return _on_suffix(w, rules, change)
+
+
 def _drop_suffix(w: Column) -> Column:
-    chain = None
-    for suffix in longest_first(PORTER_STEP_4):
-        stem = _cut(w, len(suffix))
-        keep = stem.rlike(MEASURE_OVER_1)
-        if suffix == "ion":
-            keep = keep & (stem.endswith("s") | stem.endswith("t"))
-        outcome = F.when(keep, stem).otherwise(w)
-        chain = (chain.when if chain is not None else F.when)(w.endswith(suffix), outcome)
-    return chain.otherwise(w)
+    def change(stem: Column) -> Column:
+        droppable = (_rest(w, stem) != "ion") | stem.rlike("[st]$")
+        return F.when(droppable & stem.rlike(MEASURE_OVER_1), stem).otherwise(w)
+
+    return _on_suffix(w, PORTER_STEP_4, change)
 
 
 def _final_e(w: Column) -> Column:
-    stem = _cut(w, 1)
-    removable = stem.rlike(MEASURE_OVER_1) | (
-        stem.rlike(MEASURE_IS_1) & ~stem.rlike(SHORT_SYLLABLE)
-    )
-    return F.when(w.endswith("e") & removable, stem).otherwise(w)
+    def change(stem: Column) -> Column:
+        removable = stem.rlike(MEASURE_OVER_1) | (
+            stem.rlike(MEASURE_IS_1) & ~stem.rlike(SHORT_SYLLABLE)
+        )
+        return F.when(removable, stem).otherwise(w)
+
+    return F.when(w.endswith("e"), bind(_cut(w, 1), change)).otherwise(w)
 
 
 def _double_l(w: Column) -> Column:
@@ -114,29 +113,25 @@ def _double_l(w: Column) -> Column:
 _STEPS = (
     _plural,
     _past_or_gerund,
-    _tidy,
     _final_y,
-    lambda w: _replace_suffix(w, dict(PORTER_STEP_2), MEASURE_OVER_0),
-    lambda w: _replace_suffix(w, dict(PORTER_STEP_3), MEASURE_OVER_0),
+    lambda w: _replace_suffix(w, dict(PORTER_STEP_2)),
+    lambda w: _replace_suffix(w, dict(PORTER_STEP_3)),
     _drop_suffix,
     _final_e,
     _double_l,
 )
 
 
-def with_stem(df: DataFrame, word: str, stem: str) -> DataFrame:
-    """Add ``stem`` for the lower-case column ``word``. Words under three characters stay."""
-    work = "__stem"
-    df = df.withColumn(
-        work,
-        F.when(F.col(word).startswith("y"), F.concat(F.lit("Y"), F.substring(word, 2, 1 << 30)))
-        .otherwise(F.col(word)),
-    )
+def _with_first(word: Column, old: str, new: str) -> Column:
+    return F.when(
+        word.startswith(old), F.concat(F.lit(new), F.substring(word, 2, 1 << 30))
+    ).otherwise(word)
+
+
+def stem(word: Column) -> Column:
+    """Stem of a lower-case word. Words under three characters stay; a first ``y`` is a consonant."""
+    stemmed = _with_first(word, "y", "Y")
     for step in _STEPS:
-        df = df.withColumn(work, step(F.col(work)))
-    restored = F.when(
-        F.col(work).startswith("Y"), F.concat(F.lit("y"), F.substring(work, 2, 1 << 30))
-    ).otherwise(F.col(work))
-    return df.withColumn(
-        stem, F.when(F.length(word) < 3, F.col(word)).otherwise(restored)
-    ).drop(work)
+        stemmed = bind(stemmed, step)
+    stemmed = bind(stemmed, lambda w: _with_first(w, "Y", "y"))
+    return F.when(F.length(word) < 3, word).otherwise(stemmed)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import ANALYZER_STOP_WORDS
-from ..functions.porter import with_stem
+from ..functions.porter import stem as stem_of
 from ..functions.text import token_spans
 
 
@@ -32,9 +32,7 @@ def stop_filter(
 
 def stem_filter(token_rows: DataFrame) -> DataFrame:
     """Replace each term by its stem."""
-    return with_stem(token_rows, "term", "__stemmed").withColumn(
-        "term", F.col("__stemmed")
-    ).drop("__stemmed")
+    return token_rows.withColumn("term", stem_of(F.col("term")))
 
 
 def analyze(

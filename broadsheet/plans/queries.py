@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import charset, dates, fixed_values, html
+from ..functions.porter import stem
 from ..functions.text import unescape
 from ..operators import analyzer, extract, graph, index, keywords, lookup, store
 from ..sources import articles, files
@@ -304,7 +305,7 @@ def _roll_pages(spark: SparkSession, folder: str) -> DataFrame:
             lit('{"t":"'), "title", lit('","l":"'), "url", lit('","p":"'), "time", lit('"}')),
         "SINA": F.concat(
             lit('{channel : {},title : "'), "title", lit('",url : "'), "url",
-            lit('",type : "",time : '), F.unix_timestamp("time", dates.TIME_FORMAT), lit("}")),
+            lit('",time : '), F.unix_timestamp("time", dates.TIME_FORMAT), lit("}")),
         "IFENG": F.concat(
             lit("<h4>"), F.date_format("ts", "MM/dd"), lit(" "), "clock",
             lit('</h4><a href="http://news.ifeng.com/'), photo, lit("/"), "page_id",
@@ -456,7 +457,7 @@ def analyzer_tokens(spark, folder):
 def stemmed_terms(spark, folder):
     rows = analyzer.analyze(_documents(spark, folder), ["doc_id"], stem=False)
     vocabulary = rows.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    return analyzer.with_stem(vocabulary, "term", "stem")
+    return vocabulary.withColumn("stem", stem(F.col("term")))
 
 
 @query
