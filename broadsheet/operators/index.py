@@ -26,6 +26,13 @@ def field_texts(cells: DataFrame, *qualifiers: str, escaped: bool = False) -> Da
     )
 
 
+def article_texts(articles: DataFrame) -> DataFrame:
+    """``(url, qualifier, text)`` of the title and content of wide articles."""
+    return articles.unpivot("url", ["title", "content"], "qualifier", "text").filter(
+        F.col("text").isNotNull()
+    )
+
+
 def field_keywords(
     texts: DataFrame, idf: DataFrame | None = None, k: int = INDEX_KEYWORDS
 ) -> DataFrame:
@@ -33,10 +40,9 @@ def field_keywords(
     return extract_keywords(texts, ("url", "qualifier"), k=k, idf=idf)
 
 
-def title_tokens(texts: DataFrame) -> DataFrame:
+def title_tokens(titles: DataFrame, text: str = "title") -> DataFrame:
     """Every token of every title: ``(url, term)``, duplicates and separators included."""
-    titles = texts.filter(F.col("qualifier") == "title")
-    return titles.select("url", F.explode(tokens("text")).alias("term"))
+    return titles.select("url", F.explode(tokens(text)).alias("term"))
 
 
 def invert(terms: DataFrame) -> DataFrame:
@@ -77,16 +83,18 @@ def posting_lists(postings: DataFrame, max_urls: int = URLS_PER_LIST) -> DataFra
 
 
 def index_postings(
-    texts: DataFrame, idf: DataFrame | None = None, k: int = INDEX_KEYWORDS
+    articles: DataFrame, idf: DataFrame | None = None, k: int = INDEX_KEYWORDS
 ) -> DataFrame:
     """Postings of the whole index: short keywords of both fields and long title tokens.
 
-    The two sets of terms differ in length, so together they form one index.
+    The two sets of terms differ in length, so together they form one index. The second reads the
+    title column alone.
     """
+    texts = article_texts(articles)
     keywords = short_terms(field_keywords(texts, idf, k).select("url", "term"))
-    titles = long_terms(title_tokens(texts))
+    titles = long_terms(title_tokens(articles))
     return invert(keywords.unionByName(titles))
 
 
-def full_index(texts: DataFrame, idf: DataFrame | None = None) -> DataFrame:
-    return posting_lists(index_postings(texts, idf))
+def full_index(articles: DataFrame, idf: DataFrame | None = None) -> DataFrame:
+    return posting_lists(index_postings(articles, idf))

@@ -125,17 +125,24 @@ def median_idf(idf: DataFrame) -> DataFrame:
     )
 
 
-def weigh(terms: DataFrame, idf: DataFrame, hot_terms: int = BROADCAST_TERMS) -> DataFrame:
+def weigh(
+    terms: DataFrame,
+    idf: DataFrame,
+    hot_terms: int = BROADCAST_TERMS,
+    complete: bool = False,
+) -> DataFrame:
     """Add ``weight = freq / total * idf``; a term without IDF gets the median.
 
+    ``complete`` says that the table was learned from these very terms, so no median is needed.
+
     The IDF table is materialised and measured. Inside the bounds it is broadcast, and no term row
     moves. A larger vocabulary is split: its most frequent terms (lowest IDF, a fixed number of
     bounded length) are broadcast and serve nearly all rows, and only rows of the remaining, rare
     terms are joined by shuffle. Every row goes through exactly one of the two.
     """
     idf = materialise(idf.select("term", "idf"))
-    default = median_idf(idf).scalar()
-    weight = F.col("freq") * F.coalesce("idf", default) / F.col("total")
+    known = F.col("idf") if complete else F.coalesce("idf", median_idf(idf).scalar())
+    weight = F.col("freq") * known / F.col("total")
     whole = broadcast_within(idf, hot_terms, BROADCAST_BYTES, "term")
     if whole is not None:
         joined = terms.join(whole, "term", "left")
@@ -188,7 +195,8 @@ def extract_keywords(
     part of speech and needs ``allow_pos`` and ``lexicon``.
     """
     terms = term_frequencies(docs, ids, text, stop_words)
-    if idf is None:
+    learned = idf is None
+    if learned:
         idf = learn_idf(terms, docs)
     flagged = bool(tuple(allow_pos))
     if flagged:
@@ -197,7 +205,7 @@ def extract_keywords(
     if flagged and not with_flag:
         terms = terms.drop("flag")
     key = ("term", "flag") if with_flag else ("term",)
-    best = top_terms(weigh(terms, idf), ids, k, key=key)
+    best = top_terms(weigh(terms, idf, complete=learned), ids, k, key=key)
     return best.select(*ids, *key, *(("weight",) if with_weight else ()), "rank")
 
 

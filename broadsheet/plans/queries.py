@@ -206,7 +206,7 @@ def manifest(spark, folder):
 @query
 def index_roundtrip(spark, folder):
     path = scratch_path(spark, "index")
-    store.write_index(index.full_index(_texts(spark, folder)), path)
+    store.write_index(index.full_index(_articles(spark, folder)), path)
     return store.pipe_joined(store.read_index(spark, path))
 
 
@@ -540,7 +540,7 @@ def field_keywords(spark, folder):
 
 @query
 def title_tokens(spark, folder):
-    return index.title_tokens(_texts(spark, folder))
+    return index.title_tokens(_articles(spark, folder))
 
 
 @query
@@ -565,13 +565,13 @@ def index_short(spark, folder):
 
 @query
 def index_long(spark, folder):
-    terms = index.long_terms(index.title_tokens(_texts(spark, folder)))
+    terms = index.long_terms(index.title_tokens(_articles(spark, folder)))
     return store.pipe_joined(index.posting_lists(index.invert(terms)))
 
 
 @query
 def full_index(spark, folder):
-    return store.pipe_joined(index.full_index(_texts(spark, folder)))
+    return store.pipe_joined(index.full_index(_articles(spark, folder)))
 
 
 # Lookup
@@ -579,7 +579,7 @@ def full_index(spark, folder):
 
 def _stored_index(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "index")
-    store.write_index(index.full_index(_texts(spark, folder)), path)
+    store.write_index(index.full_index(_articles(spark, folder)), path)
     return store.read_index(spark, path)
 
 

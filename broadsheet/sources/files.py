@@ -38,11 +38,10 @@ def read_article_text(spark: SparkSession, path: str, one_per_file: bool = False
 
     ``one_per_file`` reads files that hold a single article each.
     """
-    reader = spark.read
     if one_per_file:
-        raw = reader.option("wholetext", True).text(path)
+        raw = spark.read.text(path, wholetext=True)
     else:
-        raw = reader.option("lineSep", RECORD_SEPARATOR).text(path)
+        raw = spark.read.text(path, lineSep=RECORD_SEPARATOR)
     part = F.split("value", "\n", 4)
     return raw.select(
         *(F.get(part, i).alias(n) for i, n in enumerate(("title", "url", "time", "content")))
