@@ -10,7 +10,7 @@ from .keywords import extract_keywords
 
 INDEX_KEYWORDS = 10
 SHORT_TERM = (2, 4)
-URLS_PER_LIST = 1_000_000
+URLS_PER_LIST = 100_000
 
 
 def field_cells(cells: DataFrame, *qualifiers: str) -> DataFrame:

@@ -99,13 +99,20 @@ def pos_filter(
     return token_rows.join(allowed_terms(lexicon, allow_pos), "term")
 
 
-def learn_idf(terms: DataFrame, docs: DataFrame) -> DataFrame:
-    """``(term, df, idf)`` with ``idf = ln(documents / df)``, from one row per document and term."""
-    n_docs = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return (
-        terms.groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-        .withColumn("idf", F.log(n_docs / F.col("df")))
+def learn_idf(
+    docs: DataFrame, text: str = "text", stop_words: Iterable[str] = KEYWORD_STOP_WORDS
+) -> DataFrame:
+    """``(term, df, idf)`` of a corpus, with ``idf = ln(documents / df)``.
+
+    One pass: every document gives its distinct terms and one null, so the count of the null is
+    the number of documents. The counts are materialised; reading the result is cheap.
+    """
+    terms = F.array_distinct(keyword_tokens(text, stop_words))
+    marked = docs.select(F.explode(F.concat(terms, F.array(F.lit(None)))).alias("term"))
+    counts = materialise(marked.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    n_docs = counts.filter(F.col("term").isNull()).select("df").scalar()
+    return counts.filter(F.col("term").isNotNull()).withColumn(
+        "idf", F.log(n_docs / F.col("df"))
     )
 
 
@@ -135,12 +142,12 @@ def weigh(
 
     ``complete`` says that the table was learned from these very terms, so no median is needed.
 
-    The IDF table is materialised and measured. Inside the bounds it is broadcast, and no term row
-    moves. A larger vocabulary is split: its most frequent terms (lowest IDF, a fixed number of
+    The IDF table is measured, so it should be cheap to read. Inside the bounds it is broadcast,
+    and no term row moves. A larger vocabulary is split: its most frequent terms (lowest IDF, a fixed number of
     bounded length) are broadcast and serve nearly all rows, and only rows of the remaining, rare
     terms are joined by shuffle. Every row goes through exactly one of the two.
     """
-    idf = materialise(idf.select("term", "idf"))
+    idf = idf.select("term", "idf")
     known = F.col("idf") if complete else F.coalesce("idf", median_idf(idf).scalar())
     weight = F.col("freq") * known / F.col("total")
     whole = broadcast_within(idf, hot_terms, BROADCAST_BYTES, "term")
@@ -197,7 +204,7 @@ def extract_keywords(
     terms = term_frequencies(docs, ids, text, stop_words)
     learned = idf is None
     if learned:
-        idf = learn_idf(terms, docs)
+        idf = learn_idf(docs, text, stop_words)
     flagged = bool(tuple(allow_pos))
     if flagged:
         terms = flag_terms(terms, ids, lexicon, allow_pos)

@@ -56,13 +56,23 @@ def _articles(spark: SparkSession, folder: str) -> DataFrame:
     return articles.articles_from_pages(_pages(spark, folder))
 
 
-def _cells(spark: SparkSession, folder: str) -> DataFrame:
-    """Article cells; the page number serves as the write time in milliseconds."""
-    stamped = _pages(spark, folder).select(
+def _stored_articles(spark: SparkSession, folder: str) -> DataFrame:
+    """The article table: pages are parsed once, and each later read takes only its columns."""
+    path = scratch_path(spark, "articles")
+    _articles(spark, folder).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _stamped(spark: SparkSession, folder: str) -> DataFrame:
+    """Articles with a write time in milliseconds, for which the page number serves."""
+    return _pages(spark, folder).select(
         "url", html.page_title("html").alias("title"), html.article_body("html").alias("content"),
-        "page_id",
+        (F.col("page_id") + 1).alias("timestamp"),
     )
-    return articles.to_cells(stamped, timestamp=F.col("page_id") + 1)
+
+
+def _cells(spark: SparkSession, folder: str) -> DataFrame:
+    return articles.to_cells(_stamped(spark, folder), timestamp=F.col("timestamp"))
 
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,7 +99,7 @@ def _doc_terms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _doc_idf(spark: SparkSession, folder: str) -> DataFrame:
-    return keywords.learn_idf(_doc_terms(spark, folder), _table(spark, folder, "documents"))
+    return keywords.learn_idf(_documents(spark, folder))
 
 
 def _kept(spark: SparkSession, folder: str) -> DataFrame:
@@ -132,7 +142,8 @@ def cells_unpivot(spark, folder):
 
 @query
 def cells_json(spark, folder):
-    return articles.cells_from_json(articles.cells_to_json(_cells(spark, folder)))
+    blobs = articles.rows_to_json(_stamped(spark, folder), timestamp=F.col("timestamp"))
+    return articles.cells_from_json(blobs)
 
 
 @query
@@ -206,7 +217,7 @@ def manifest(spark, folder):
 @query
 def index_roundtrip(spark, folder):
     path = scratch_path(spark, "index")
-    store.write_index(index.full_index(_articles(spark, folder)), path)
+    store.write_index(index.full_index(_stored_articles(spark, folder)), path)
     return store.pipe_joined(store.read_index(spark, path))
 
 
@@ -497,7 +508,9 @@ def idf_median(spark, folder):
 
 @query
 def tfidf_weights(spark, folder):
-    weighed = keywords.weigh(_doc_terms(spark, folder), _doc_idf(spark, folder))
+    weighed = keywords.weigh(
+        _doc_terms(spark, folder), _doc_idf(spark, folder), complete=True
+    )
     return _rounded(weighed, "weight").select("doc_id", "term", "weight")
 
 
@@ -507,7 +520,7 @@ def tfidf_default(spark, folder):
     known = _documents(spark, folder).join(
         _table(spark, folder, "labels").select("doc_id").distinct(), "doc_id", "left_semi"
     )
-    learned = keywords.learn_idf(keywords.term_frequencies(known, ["doc_id"]), known)
+    learned = keywords.learn_idf(known)
     weighed = keywords.weigh(_doc_terms(spark, folder), learned)
     return _rounded(weighed, "weight").select("doc_id", "term", "weight")
 
@@ -571,15 +584,15 @@ def index_long(spark, folder):
 
 @query
 def full_index(spark, folder):
-    return store.pipe_joined(index.full_index(_articles(spark, folder)))
+    return store.pipe_joined(index.full_index(_stored_articles(spark, folder)))
 
 
 # Lookup
 
 
-def _stored_index(spark: SparkSession, folder: str) -> DataFrame:
+def _stored_index(spark: SparkSession, found: DataFrame) -> DataFrame:
     path = scratch_path(spark, "index")
-    store.write_index(index.full_index(_articles(spark, folder)), path)
+    store.write_index(index.full_index(found), path)
     return store.read_index(spark, path)
 
 
@@ -592,7 +605,7 @@ def _searched(stored: DataFrame) -> DataFrame:
 
 @query
 def lookup_point(spark, folder):
-    stored = _stored_index(spark, folder)
+    stored = _stored_index(spark, _stored_articles(spark, folder))
     return lookup.lookup_terms(stored, _searched(stored)).select(
         "keyword", "part", F.array_join("urls", "|").alias("index")
     )
@@ -600,13 +613,13 @@ def lookup_point(spark, folder):
 
 @query
 def lookup_prefix(spark, folder):
-    return store.pipe_joined(lookup.lookup_prefix(_stored_index(spark, folder), "th"))
+    return store.pipe_joined(lookup.lookup_prefix(_stored_index(spark, _stored_articles(spark, folder)), "th"))
 
 
 @query
 def lookup_missing(spark, folder):
     """Empty and unknown keywords among known ones."""
-    stored = _stored_index(spark, folder)
+    stored = _stored_index(spark, _stored_articles(spark, folder))
     known = _searched(stored)
     asked = known.union(known.select(F.lit(""))).union(
         known.select(F.concat("keyword", F.lit(" unknown")))
@@ -618,8 +631,9 @@ def lookup_missing(spark, folder):
 
 @query
 def search(spark, folder):
-    stored = _stored_index(spark, folder)
-    return lookup.search(stored, _articles(spark, folder), _searched(stored))
+    found = _stored_articles(spark, folder)
+    stored = _stored_index(spark, found)
+    return lookup.search(stored, found, _searched(stored))
 
 
 # Term graph

@@ -56,14 +56,28 @@ def from_cells(
     return cells.groupBy(F.col("row").alias(key)).agg(*newest)
 
 
-def cells_to_json(cells: DataFrame) -> DataFrame:
-    """One record per row key: ``(row, blob)`` with one JSON cell per line, ordered by qualifier."""
-    line = F.to_json(F.struct(
-        "row", "columnFamily", "qualifier",
-        F.col("timestamp").cast("string").alias("timestamp"), "type", "value",
-    ))
-    lines = F.sort_array(F.collect_list(F.struct("qualifier", "timestamp", line.alias("line"))))
-    return cells.groupBy("row").agg(F.array_join(lines["line"], "\n").alias("blob"))
+def rows_to_json(
+    articles: DataFrame,
+    key: str = "url",
+    columns: Sequence[str] = ("title", "content"),
+    family: str = "f",
+    timestamp: Column | None = None,
+) -> DataFrame:
+    """One scan record per wide row: ``(row, blob)`` with one JSON cell per line, inside the row."""
+    timestamp = F.lit(0) if timestamp is None else timestamp
+
+    def line(column: str) -> Column:
+        return F.when(F.col(column).isNotNull(), F.to_json(F.struct(
+            F.col(key).alias("row"),
+            F.lit(family).alias("columnFamily"),
+            F.lit(column).alias("qualifier"),
+            timestamp.cast("string").alias("timestamp"),
+            F.lit("Put").alias("type"),
+            F.col(column).alias("value"),
+        )))
+
+    lines = F.array_compact(F.array(*(line(c) for c in columns)))
+    return articles.select(F.col(key).alias("row"), F.array_join(lines, "\n").alias("blob"))
 
 
 def cells_from_json(blobs: DataFrame) -> DataFrame:

@@ -61,7 +61,7 @@ def test_median_is_the_upper_one(spark):
 
 def test_idf_of_a_term_in_every_document_is_zero(spark):
     docs = spark.createDataFrame([(1, "aa bb"), (2, "aa")], "doc int, text string")
-    idf = keywords.learn_idf(keywords.term_frequencies(docs, ["doc"]), docs)
+    idf = keywords.learn_idf(docs)
     assert {r.term: (r.df, r.idf) for r in idf.collect()} == {"aa": (2, 0.0), "bb": (1, math.log(2))}
 
 

@@ -23,9 +23,21 @@ def cells_of(df):
 
 
 def test_cells_json_round_trip(spark):
-    cells = spark.createDataFrame(CELLS, SCHEMA)
-    blobs = articles.cells_to_json(cells)
-    assert blobs.filter("row = 'row1'").first().blob.count("\n") == 1
+    wide = spark.createDataFrame(
+        [("row1", 'va"lue\n1', "value2"), ("row2", None, "value3")], "row string, a string, b string")
+    blobs = articles.rows_to_json(wide, "row", ("a", "b"), "f1", F.lit(1450598363113))
+    assert sorted(r.blob.count("\n") for r in blobs.collect()) == [0, 1]
+    assert cells_of(articles.cells_from_json(blobs)) == [
+        ("row1", "f1", "a", 1450598363113, "Put", 'va"lue\n1'),
+        ("row1", "f1", "b", 1450598363113, "Put", "value2"),
+        ("row2", "f1", "b", 1450598363113, "Put", "value3")]
+
+
+def test_cells_of_a_scan(spark):
+    lines = spark.createDataFrame(CELLS, SCHEMA).select("row", F.to_json(F.struct(
+        "row", "columnFamily", "qualifier", F.col("timestamp").cast("string").alias("timestamp"),
+        "type", "value")).alias("blob"))
+    blobs = lines.groupBy("row").agg(F.array_join(F.collect_list("blob"), "\n").alias("blob"))
     assert cells_of(articles.cells_from_json(blobs)) == CELLS
 
 
