@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +40,16 @@ def roll_page_urls(
     return days.select(F.inline(F.array(*(url(s) for s in sites))))
 
 
+def _attach(rows: DataFrame, per_group: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Add the columns of a per-group table; a null key is a group like any other."""
+    renamed = per_group.select(
+        *(F.col(k).alias(f"__key_{k}") for k in keys),
+        *(c for c in per_group.columns if c not in keys),
+    )
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys))
+    return rows.join(renamed, same, how).drop(*(f"__key_{k}" for k in keys))
+
+
 def take_until_empty(
     pages: DataFrame, group: Sequence[str], page: str, is_empty: Column
 ) -> DataFrame:
@@ -51,7 +63,7 @@ def take_until_empty(
         .agg(F.min(page).alias("__first_empty"))
     )
     return (
-        pages.join(first, list(group), "left")
+        _attach(pages, first, group, "left")
         .filter(F.col("__first_empty").isNull() | (F.col(page) < F.col("__first_empty")))
         .drop("__first_empty")
     )
@@ -74,9 +86,9 @@ def number_items(
         *group, "__range", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset")
     )
     inside = Window.partitionBy(*group, "__range").orderBy(order)
+    numbered = ranged.withColumn("__in", F.row_number().over(inside))
     return (
-        ranged.withColumn("__in", F.row_number().over(inside))
-        .join(offsets, [*group, "__range"])
+        _attach(numbered, offsets, [*group, "__range"], "inner")
         .withColumn(number, F.col("__offset") + F.col("__in") - 1)
         .drop("__range", "__offset", "__in")
     )

@@ -117,7 +117,7 @@ def test_invalid_title_is_indexed_as_long_term(spark):
 
 def test_numbering_in_ranges_equals_row_number(spark):
     items = spark.range(0, 200).select(
-        F.when(F.col("id") < 150, "hot").otherwise("cold").alias("site"),
+        F.when(F.col("id") < 150, "hot").when(F.col("id") < 180, "cold").alias("site"),
         (F.col("id") * 7).alias("order"))
     numbered = extract.number_items(items, ["site"], "order", bucket=30)
     plain = items.withColumn(
