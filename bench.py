@@ -19,7 +19,7 @@ from broadsheet.plans.queries import QUERIES  # noqa: E402
 
 HEADLINE = (
     "article_body", "cells_json", "upsert_latest", "keep_versions", "links", "seq_number",
-    "tokens", "tokens_offsets", "analyzer_tokens", "word_count", "term_freq", "idf",
+    "tokens", "tokens_offsets", "analyzer", "word_count", "term_freq", "idf",
     "tfidf_topk", "field_keywords", "full_index", "search", "cooccurrence", "term_graph",
     "textrank_topk",
 )

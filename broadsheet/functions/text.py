@@ -24,10 +24,14 @@ def _column(value: Column | str) -> Column:
 
 
 def _bigrams(run: Column) -> Column:
-    return F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(run) - 1, F.lit(1))),
-        lambda i: F.substring(run, i, F.lit(2)),
-    )
+    """Pairs of neighbouring characters; a single character stays."""
+    return bind(F.split(run, ""), lambda chars: F.when(F.size(chars) < 2, chars).otherwise(
+        F.zip_with(
+            F.slice(chars, F.lit(1), F.size(chars) - 1),
+            F.slice(chars, F.lit(2), F.size(chars) - 1),
+            lambda a, b: F.concat(a, b),
+        )
+    ))
 
 
 def _split_cjk(piece: Column) -> Column:
@@ -108,10 +112,7 @@ def token_spans(text: Column | str) -> Column:
     def bigram_spans(run: Column, start: Column) -> Column:
         return F.when(
             run.rlike(f"^{CJK}"),
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(F.length(run) - 1, F.lit(1))),
-                lambda i: span(F.substring(run, i, F.lit(2)), start + i - 1),
-            ),
+            F.transform(_bigrams(run), lambda pair, i: span(pair, start + i)),
         ).otherwise(F.array(span(run, start)))
 
     def spans(pair: Column) -> Column:

@@ -361,7 +361,7 @@ def _stems(source: str) -> str:
     return ",\n".join(ctes)
 
 
-_add("analyzer_tokens", f"""with {_ANALYZED}, {_stems('analyzed')}
+_add("analyzer", f"""with {_ANALYZED}, {_stems('analyzed')}
 select doc_id, stem as term, startpos, endpos from analyzed join stems using (term)""")
 _add("stemmed_terms", f"""with {_ANALYZED}, {_stems('analyzed')}
 select term, stem, count(*) as n from analyzed join stems using (term) group by term, stem""")

@@ -459,11 +459,13 @@ def tokens_offsets(spark, folder):
     return analyzer.tokens_with_offsets(_documents(spark, folder), ["doc_id"])
 
 
-@query
-def analyzer_tokens(spark, folder):
+def _analyzer(spark, folder):
     return analyzer.analyze(_documents(spark, folder), ["doc_id"])
 
 
+QUERIES["analyzer"] = _analyzer
+
+
 @query
 def stemmed_terms(spark, folder):
     rows = analyzer.analyze(_documents(spark, folder), ["doc_id"], stem=False)

@@ -131,3 +131,17 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     assert session.broadcast_within(spark.range(10).withColumn("t", F.lit("ab")), 9, 99, "t") is None
     assert session.broadcast_within(spark.range(10).withColumn("t", F.lit("ab")), 10, 19, "t") is None
     assert session.broadcast_within(spark.range(10).withColumn("t", F.lit("ab")), 10, 20, "t")
+
+
+def test_chinese_articles_are_found(spark, tmp_path):
+    articles = spark.createDataFrame([
+        ("u1", "五台山举行法会", "山西祈福。"),
+        ("u2", "香港演员", "香港演员祈福。Broadcast news"),
+        ("u3", "Broadcasting", None),
+    ], "url string, title string, content string")
+    path = str(tmp_path / "index")
+    store.write_index(index.full_index(articles), path)
+    asked = spark.createDataFrame([("祈福",), ("香港",), ("Broadcasting",), ("法会",)], "keyword string")
+    found = lookup.search(store.read_index(spark, path), articles, asked).collect()
+    assert {(r.keyword, r.url) for r in found} == {
+        ("祈福", "u1"), ("祈福", "u2"), ("香港", "u2"), ("Broadcasting", "u3"), ("法会", "u1")}
