@@ -36,9 +36,11 @@ def _on_suffix(
     word: Column, suffixes: Iterable[str], change: Callable[[Column], Column]
 ) -> Column:
     """``change(stem)`` for a word with one of the suffixes (the longest), else the word."""
+    endings = sorted({s[-2:] for s in suffixes})
     suffixes = "|".join(suffixes)
     stem = F.regexp_extract(word, f"(?s)^(.*?)(?:{suffixes})$", 1)
-    return F.when(word.rlike(f"(?:{suffixes})$"), bind(stem, change)).otherwise(word)
+    matches = F.right(word, F.lit(2)).isin(*endings) & word.rlike(f"(?:{suffixes})$")
+    return F.when(matches, bind(stem, change)).otherwise(word)
 
 
 def _rest(word: Column, stem: Column) -> Column:
@@ -110,16 +112,33 @@ def _double_l(w: Column) -> Column:
     return F.when(w.endswith("ll") & w.rlike(MEASURE_OVER_1), _cut(w, 1)).otherwise(w)
 
 
-_STEPS = (
-    _plural,
-    _past_or_gerund,
-    _final_y,
+# Inflections, then derivations; a word without one of the endings passes a group unchanged.
+_INFLECTIONS = (_plural, _past_or_gerund, _final_y)
+_DERIVATIONS = (
     lambda w: _replace_suffix(w, dict(PORTER_STEP_2)),
     lambda w: _replace_suffix(w, dict(PORTER_STEP_3)),
     _drop_suffix,
     _final_e,
     _double_l,
 )
+_DERIVED_ENDINGS = {s[-2:] for s in (*dict(PORTER_STEP_2), *dict(PORTER_STEP_3), *PORTER_STEP_4)}
+
+
+def _apply(word: Column, steps: Iterable[Callable[[Column], Column]]) -> Column:
+    for step in steps:
+        word = bind(word, step)
+    return word
+
+
+def _inflected(w: Column) -> Column:
+    return F.when(
+        F.right(w, F.lit(1)).isin("s", "d", "g", "y"), _apply(w, _INFLECTIONS)
+    ).otherwise(w)
+
+
+def _derived(w: Column) -> Column:
+    concerned = F.right(w, F.lit(2)).isin("ll", *sorted(_DERIVED_ENDINGS)) | w.endswith("e")
+    return F.when(concerned, _apply(w, _DERIVATIONS)).otherwise(w)
 
 
 def _with_first(word: Column, old: str, new: str) -> Column:
@@ -130,8 +149,7 @@ def _with_first(word: Column, old: str, new: str) -> Column:
 
 def stem(word: Column) -> Column:
     """Stem of a lower-case word. Words under three characters stay; a first ``y`` is a consonant."""
-    stemmed = _with_first(word, "y", "Y")
-    for step in _STEPS:
-        stemmed = bind(stemmed, step)
-    stemmed = bind(stemmed, lambda w: _with_first(w, "Y", "y"))
+    marked = _with_first(word, "y", "Y")
+    unmark = lambda w: _with_first(w, "Y", "y")
+    stemmed = _apply(marked, (_inflected, _derived, unmark))
     return F.when(F.length(word) < 3, word).otherwise(stemmed)
