@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens, unescape
+from ..session import written
 from .keywords import extract_keywords
 
 INDEX_KEYWORDS = 10
@@ -63,9 +64,11 @@ def posting_lists(postings: DataFrame, max_urls: int = URLS_PER_LIST) -> DataFra
 
     Nearly every term has the single part 0. A term with more than ``max_urls`` postings is hashed
     by url into as many parts as it needs, so no task and no row has to hold an unbounded list.
-    The counts reuse the exchange of ``invert``; the join on them is left to adaptive execution,
-    which broadcasts the few frequent terms by measured size or splits the skewed partition.
+    The postings are written once, because they are counted before they are listed. The join on
+    the counts is left to adaptive execution, which broadcasts the few frequent terms by measured
+    size or splits the skewed partition.
     """
+    postings = written(postings, "postings")
     frequent = (
         postings.groupBy("term")
         .agg(F.count(F.lit(1)).alias("n"))

@@ -110,7 +110,8 @@ def learn_idf(
     terms = F.array_distinct(keyword_tokens(text, stop_words))
     marked = docs.select(F.explode(F.concat(terms, F.array(F.lit(None)))).alias("term"))
     counts = materialise(marked.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    n_docs = counts.filter(F.col("term").isNull()).select("df").scalar()
+    marks = counts.filter(F.col("term").isNull()).select("df").first()
+    n_docs = F.lit(marks[0] if marks else 0)
     return counts.filter(F.col("term").isNotNull()).withColumn(
         "idf", F.log(n_docs / F.col("df"))
     )

@@ -17,7 +17,7 @@ from ..functions.porter import stem
 from ..functions.text import unescape
 from ..operators import analyzer, extract, graph, index, keywords, lookup, store
 from ..sources import articles, files
-from ..session import scratch_path, spread
+from ..session import scratch_path, spread, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,9 +58,7 @@ def _articles(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stored_articles(spark: SparkSession, folder: str) -> DataFrame:
     """The article table: pages are parsed once, and each later read takes only its columns."""
-    path = scratch_path(spark, "articles")
-    _articles(spark, folder).write.parquet(path)
-    return spark.read.parquet(path)
+    return written(_articles(spark, folder), "articles")
 
 
 def _stamped(spark: SparkSession, folder: str) -> DataFrame:

@@ -40,6 +40,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Like ``materialise`` for large frames: a Parquet table in the shared folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def broadcast_within(df: DataFrame, max_rows: int, max_bytes: int, size_of) -> DataFrame | None:
     """``df`` with a broadcast hint if it is inside both bounds, else ``None``.
 
