@@ -16,6 +16,9 @@ BROADCAST_TERMS = 500_000
 BROADCAST_BYTES = 16 << 20
 LONGEST_HOT_TERM = 64
 
+# Width of the value ranges in which the median IDF is searched.
+RANGES_PER_UNIT = 10_000
+
 
 def explode_tokens(docs: DataFrame, ids: Sequence[str], text: str = "text") -> DataFrame:
     """One row per token of the whole text: ``(ids, pos, term)``, positions from 0."""
@@ -120,15 +123,27 @@ def learn_idf(
 def median_idf(idf: DataFrame) -> DataFrame:
     """One row ``median_idf``: the upper median, the value at index ``n div 2`` in ascending order.
 
-    Values are counted first; a learned table has one value per document frequency, which is at
-    most about the square root of the posting count, so the ranking step stays small.
+    Equal values are counted first, then counts are added up over value ranges to find the range
+    that holds the median, and only the values of that range are ordered one by one.
     """
-    by_value = idf.groupBy("idf").agg(F.count(F.lit(1)).alias("n"))
-    total = by_value.agg(F.sum("n").alias("n")).scalar()
-    below = F.sum("n").over(Window.orderBy("idf").rowsBetween(Window.unboundedPreceding, 0))
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    values = idf.groupBy("idf").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "range", F.floor(F.col("idf") * RANGES_PER_UNIT)
+    )
+    ranges = values.groupBy("range").agg(F.sum("n").alias("n"))
+    half = F.floor(ranges.agg(F.sum("n").alias("n")).scalar() / 2)
+    holding = (
+        ranges.withColumn("upto", F.sum("n").over(Window.orderBy("range").rowsBetween(*so_far)))
+        .filter(F.col("upto") > half)
+        .orderBy("range")
+        .limit(1)
+        .select("range", (F.col("upto") - F.col("n")).alias("before"))
+    )
+    upto = F.col("before") + F.sum("n").over(Window.orderBy("idf").rowsBetween(*so_far))
     return (
-        by_value.withColumn("below", below)
-        .filter(F.col("below") > F.floor(total / 2))
+        values.join(holding, "range")
+        .withColumn("upto", upto)
+        .filter(F.col("upto") > half)
         .agg(F.min("idf").alias("median_idf"))
     )
 
@@ -149,7 +164,9 @@ def weigh(
     terms are joined by shuffle. Every row goes through exactly one of the two.
     """
     idf = idf.select("term", "idf")
-    known = F.col("idf") if complete else F.coalesce("idf", median_idf(idf).scalar())
+    known = F.col("idf")
+    if not complete:
+        known = F.coalesce(known, F.lit(median_idf(idf).first()[0]))
     weight = F.col("freq") * known / F.col("total")
     whole = broadcast_within(idf, hot_terms, BROADCAST_BYTES, "term")
     if whole is not None:

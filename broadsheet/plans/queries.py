@@ -17,7 +17,7 @@ from ..functions.porter import stem
 from ..functions.text import unescape
 from ..operators import analyzer, extract, graph, index, keywords, lookup, store
 from ..sources import articles, files
-from ..session import scratch_path, spread, written
+from ..session import materialise, scratch_path, spread, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,7 +112,8 @@ def _lexicon(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("term").endswith("e"), "v")
         .otherwise("a")
     )
-    return keywords.word_count(_documents(spark, folder)).select("term", flag.alias("flag"))
+    vocabulary = keywords.word_count(_documents(spark, folder))
+    return materialise(vocabulary.select("term", flag.alias("flag")))
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
