@@ -7,8 +7,8 @@ least ``SUPPORT`` of the host's pages have is an equivalence class; it is valid
 one order on all of them. The class that has each token once a page is the template's frame, valid
 classes that always lie in one slot of the frame are nested in it. What lies between the frame's
 tokens are slots. Slots inside an article or main element hold the main text; if the frame has none,
-slots outside menus, adverts and the like do, without the texts of nested classes, which the host
-repeats. Pages that miss the frame, and hosts with too few pages, are cut by element names alone.
+slots outside menus, adverts and the like do, without the texts of nested classes that the host
+repeats on nearly all pages. Pages that miss the frame, and hosts with too few pages, are cut by element names alone.
 
 Templates are small: a token of a class is on at least ``SUPPORT`` of the host's pages. They are
 broadcast inside checked bounds and otherwise joined with salted hosts.
@@ -33,6 +33,8 @@ from pyspark.sql.types import StringType
 from ..session import broadcast_within, written
 
 SUPPORT, MIN_PAGES = 0.5, 3
+#: A nested class's texts are template texts if it is on this share of the host's pages.
+REPEATED = 0.9
 SALTS = 32
 
 _MARKUP = re.compile(
@@ -204,7 +206,7 @@ def deduce(pages: DataFrame) -> DataFrame:
         starts.join(frame_at, ["host", "place"]).select(
             "host", "vector", F.size(F.filter("edges", lambda e: e <= F.col("at"))).alias("slot"))
         .groupBy("host", "vector").agg(F.min("slot").alias("a"), F.max("slot").alias("b")).where("a = b")
-        .join(valid.select("host", "vector", "order"), ["host", "vector"])
+        .join(valid.where(F.col("support") >= REPEATED * F.col("pages")).select("host", "vector", "order"), ["host", "vector"])
         .groupBy("host").agg(F.flatten(F.collect_list("order")).alias("repeated")))
     return frames.join(nested, "host", "left").select(
         "host", "frame", F.coalesce("repeated", F.array().cast("array<bigint>")).alias("repeated"))

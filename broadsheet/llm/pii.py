@@ -95,8 +95,9 @@ def base_spans(text: Column) -> Column:
 
 
 def shape(value: Column) -> Column:
-    """Digits as 9, letters as a, runs of letters once."""
-    return F.regexp_replace(F.regexp_replace(value, "[0-9]", "9"), r"\p{L}+", "a")
+    """Runs of up to three digits as #, digits of longer ones as 9 each, runs of letters as a."""
+    short = F.regexp_replace(value, "(?<![0-9])[0-9]{1,3}(?![0-9])", "#")
+    return F.regexp_replace(F.regexp_replace(short, "[0-9]", "9"), r"\p{L}+", "a")
 
 
 def candidates(text: Column, spans: Column) -> Column:

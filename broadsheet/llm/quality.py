@@ -27,6 +27,11 @@ TREES, DEPTH, PENALTY, SEED = 24, 3, 0.002, 7
 #: Scores at or above it predict label 1.
 THRESHOLD = 0.3
 
+NAMES = (
+    "chars", "words", "lines", "chars_per_word", "distinct_words", "distinct_lines", "symbol_runs", "lone_symbols",
+    "capital_words", "short_words", "numbers", "sentence_ends", "commas",
+)
+
 
 def statistics(text: Column | str) -> dict[str, Column]:
     """Statistics of a text; shares are per word, line or character and 0 for an empty text."""
@@ -39,24 +44,21 @@ def statistics(text: Column | str) -> dict[str, Column]:
     words = F.split(F.lower(text), r"\s+")
     lines = F.split(text, "\n")
     n_words, n_lines = F.size(words).cast("double"), F.size(lines).cast("double")
-    return {
-        "chars": chars,
-        "words": n_words,
-        "lines": n_lines,
-        "chars_per_word": chars / n_words,
-        "distinct_words": F.size(F.array_distinct(words)) / n_words,
-        "distinct_lines": F.size(F.array_distinct(lines)) / n_lines,
-        "symbol_runs": count(r"[!-/:-@\[-`{-~]{2,}") / n_words,
-        "lone_symbols": count(r"\s[!-/:-@\[-`{-~]+(?=\s)") / n_words,
-        "capital_words": count(r"[A-ZÀ-ÖØ-Þ]{2,}") / n_words,
-        "short_words": count(r"\b\p{L}{1,3}\b") / n_words,
-        "numbers": count(r"[0-9]+") / n_words,
-        "sentence_ends": count(r"[.!?](?:\s|$)") / n_words,
-        "commas": count(",") / n_words,
-    }
-
-
-NAMES = tuple(statistics(F.lit("")))
+    return dict(zip(NAMES, (
+        chars,
+        n_words,
+        n_lines,
+        chars / n_words,
+        F.size(F.array_distinct(words)) / n_words,
+        F.size(F.array_distinct(lines)) / n_lines,
+        count(r"[!-/:-@\[-`{-~]{2,}") / n_words,
+        count(r"\s[!-/:-@\[-`{-~]+(?=\s)") / n_words,
+        count(r"[A-ZÀ-ÖØ-Þ]{2,}") / n_words,
+        count(r"\b\p{L}{1,3}\b") / n_words,
+        count(r"[0-9]+") / n_words,
+        count(r"[.!?](?:\s|$)") / n_words,
+        count(",") / n_words,
+    ), strict=True))
 
 
 @dataclass(frozen=True)

@@ -1,0 +1,120 @@
+import random
+
+import numpy as np
+import xxhash
+
+from broadsheet.llm import simhash
+from broadsheet.llm.queries import QUERIES
+
+
+def slow_fingerprint(text):
+    import re
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    shingles = [" ".join(words[i: i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    ones = [0] * 64
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s.encode(), 42)
+        for b in range(64):
+            ones[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if ones[b] * 2 > len(shingles))
+
+
+def slow_components(rows):
+    """{position: smallest id reachable} by comparing all pairs."""
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (_, a) in enumerate(rows):
+        for j in range(i):
+            if bin(a ^ rows[j][1]).count("1") <= 4:
+                root[find(i)] = find(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        r = find(i)
+        if doc_id is not None:
+            least[r] = min(doc_id, least.get(r, doc_id))
+    return [least.get(find(i)) for i in range(len(rows))]
+
+
+def test_fingerprint_by_hand():
+    for text in (None, "", "  \t\n", "One", "a b c", "A  b c\nd e É ß", "x y " * 40_000):
+        assert simhash.text_fingerprint(text) == slow_fingerprint(text)
+
+
+def test_query_equals_all_pairs(spark):
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    found = {r.doc_id: r for r in QUERIES["op7_simhash"](spark, folder).collect()}
+    rows = [(i, slow_fingerprint(t)) for i, t in texts.items()]
+    assert {i: f"{f:016x}" for i, f in rows} == {i: r.fingerprint for i, r in found.items()}
+    assert dict(zip((i for i, _ in rows), slow_components(rows))) == {i: r.component_id for i, r in found.items()}
+
+
+def test_code_is_perfect():
+    anchors = simhash.Anchors()
+    words = np.arange(1 << 23)
+    homes = anchors.nearest(words)
+    assert (np.bincount(homes, minlength=4096) == 2048).all()
+
+
+def test_anchors_cover_every_pair_within_four_bits():
+    chance, anchors = random.Random(1), simhash.Anchors()
+    for _ in range(300):
+        a = chance.getrandbits(64)
+        b = a
+        for bit in chance.sample(range(64), chance.randrange(0, 5)):
+            b ^= 1 << bit
+        keys, rows = simhash.anchor_keys(np.array([a, b], np.uint64), anchors)
+        assert set(keys[rows == 0]) & set(keys[rows == 1])
+        assert max(np.bincount(rows)) <= 33
+
+
+def planted(n=150):
+    chance, values = random.Random(2), set()
+    for _ in range(n):
+        centre = chance.getrandbits(64)
+        for _ in range(chance.randrange(1, 8)):
+            v = centre
+            for bit in chance.sample(range(64), chance.randrange(0, 6)):
+                v ^= 1 << bit
+            values.add(v)
+    centre = chance.getrandbits(64)
+    values |= {centre ^ 1 << i ^ 1 << j for i in range(20) for j in range(i, 20)}
+    return sorted(values)
+
+
+def test_links_connect_as_all_pairs_do(spark):
+    values = planted()
+    rows = [(i, v) for i, v in enumerate(values)]
+    table = spark.createDataFrame([(i, v - (1 << 64) if v >> 63 else v) for i, v in rows], "doc_id long, fp long")
+    expected = dict(zip((i for i, _ in rows), slow_components(rows)))
+    for hot in (simhash.HOT, 16):
+        roots = simhash.components(simhash.links(table, hot)).withColumnRenamed("node", "fp")
+        found = table.join(roots, "fp", "left").collect()
+        groups = {}
+        for r in found:
+            groups.setdefault(r.fp if r.root is None else r.root, []).append(r.doc_id)
+        assert {i: min(g) for g in groups.values() for i in g} == expected
+
+
+def test_a_long_chain_is_one_component(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+    assert {r.root for r in simhash.components(edges).collect()} == {0}
+    assert simhash.components(edges.limit(0)).count() == 0
+
+
+def test_edge_cases(spark, make_docs):
+    docs = make_docs((5, None), (4, ""), (None, "one two three"), (7, "one two three"), (7, "one two three"),
+                     (None, "alone here"), (9, "quite another text " * 30_000))
+    found = sorted(map(tuple, simhash.near_duplicates(docs).select("doc_id", "component_id").collect()), key=str)
+    assert found == sorted([(5, 4), (4, 4), (None, 7), (7, 7), (7, 7), (None, None), (9, 9)], key=str)
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([4, 7, None, 9], key=str)
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+    assert simhash.drop_near_duplicates(docs.limit(0)).count() == 0
