@@ -12,6 +12,7 @@ Labels that are null are ignored, repeated labels of a document count once, by t
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -19,6 +20,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import bind
 from ..session import written
 
 #: At most so many labelled rows are used for fitting, those with the lowest hash of the id.
@@ -27,38 +29,44 @@ TREES, DEPTH, PENALTY, SEED = 24, 3, 0.002, 7
 #: Scores at or above it predict label 1.
 THRESHOLD = 0.3
 
-NAMES = (
-    "chars", "words", "lines", "chars_per_word", "distinct_words", "distinct_lines", "symbol_runs", "lone_symbols",
-    "capital_words", "short_words", "numbers", "sentence_ends", "commas",
-)
+#: Statistics that count matches per word.
+PATTERNS = {
+    "symbol_runs": r"[!-/:-@\[-`{-~]{2,}",
+    "lone_symbols": r"\s[!-/:-@\[-`{-~]+(?=\s)",
+    "capital_words": r"[A-ZÀ-ÖØ-Þ]{2,}",
+    "short_words": r"\b\p{L}{1,3}\b",
+    "numbers": r"[0-9]+",
+    "sentence_ends": r"[.!?](?:\s|$)",
+    "commas": ",",
+}
+NAMES = ("chars", "words", "lines", "chars_per_word", "distinct_words", "distinct_lines", *PATTERNS)
 
 
-def statistics(text: Column | str) -> dict[str, Column]:
-    """Statistics of a text; shares are per word, line or character and 0 for an empty text."""
+def statistics(text: Column | str) -> Column:
+    """A struct of the statistics; shares are per word, line or character and 0 for an empty text.
+
+    The counts are bound before they are divided, so the text is cut into words once.
+    """
     text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
-    def count(pattern: str) -> Column:
-        return F.regexp_count(text, F.lit(pattern)).cast("double")
-
-    chars = F.char_length(text).cast("double")
-    words = F.split(F.lower(text), r"\s+")
-    lines = F.split(text, "\n")
-    n_words, n_lines = F.size(words).cast("double"), F.size(lines).cast("double")
-    return dict(zip(NAMES, (
-        chars,
-        n_words,
-        n_lines,
-        chars / n_words,
-        F.size(F.array_distinct(words)) / n_words,
-        F.size(F.array_distinct(lines)) / n_lines,
-        count(r"[!-/:-@\[-`{-~]{2,}") / n_words,
-        count(r"\s[!-/:-@\[-`{-~]+(?=\s)") / n_words,
-        count(r"[A-ZÀ-ÖØ-Þ]{2,}") / n_words,
-        count(r"\b\p{L}{1,3}\b") / n_words,
-        count(r"[0-9]+") / n_words,
-        count(r"[.!?](?:\s|$)") / n_words,
-        count(",") / n_words,
-    ), strict=True))
+    def distinct(parts: Column, name: str) -> Column:
+        return bind(parts, lambda p: F.struct(
+            F.size(p).cast("double").alias("all"), F.size(F.array_distinct(p)).cast("double").alias("distinct"),
+        )).alias(name)
+
+    def shares(c: Column) -> Column:
+        words, lines = c["words"]["all"], c["lines"]["all"]
+        return F.struct(*(value.alias(name) for name, value in zip(NAMES, (
+            c["chars"], words, lines, c["chars"] / words, c["words"]["distinct"] / words, c["lines"]["distinct"] / lines,
+            *(c[name] / words for name in PATTERNS),
+        ), strict=True)))
+
+    return bind(F.struct(
+        F.char_length(text).cast("double").alias("chars"),
+        distinct(F.split(F.lower(text), r"\s+"), "words"),
+        distinct(F.split(text, "\n"), "lines"),
+        *(F.regexp_count(text, F.lit(pattern)).cast("double").alias(name) for name, pattern in PATTERNS.items()),
+    ), shares)
 
 
 @dataclass(frozen=True)
@@ -69,8 +77,8 @@ class Condition:
     above: bool
     bound: float
 
-    def column(self) -> Column:
-        value = F.col(self.statistic)
+    def column(self, value_of: Callable[[str], Column] = F.col) -> Column:
+        value = value_of(self.statistic)
         return value > F.lit(self.bound) if self.above else value <= F.lit(self.bound)
 
 
@@ -85,20 +93,20 @@ class RuleModel:
     rules: list[tuple[Rule, float]] = field(default_factory=list)
     constant: float | None = None
 
-    def score(self) -> Column:
-        """The probability of label 1, over the columns of ``statistics``."""
+    def score(self, value_of: Callable[[str], Column] = F.col) -> Column:
+        """The probability of label 1; ``value_of`` gives the column of a statistic."""
         if self.constant is not None:
             return F.lit(self.constant)
         total = F.lit(self.intercept)
         for rule, weight in self.rules:
-            total = total + F.when(holds(rule), F.lit(weight)).otherwise(F.lit(0.0))
+            total = total + F.when(holds(rule, value_of), F.lit(weight)).otherwise(F.lit(0.0))
         return 1.0 / (1.0 + F.exp(-total))
 
 
-def holds(rule: Rule) -> Column:
+def holds(rule: Rule, value_of: Callable[[str], Column] = F.col) -> Column:
     column = F.lit(True)
     for condition in sorted(rule, key=lambda c: (c.statistic, c.above, c.bound)):
-        column = column & condition.column()
+        column = column & condition.column(value_of)
     return column
 
 
@@ -143,9 +151,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
         .orderBy(F.xxhash64("id"), "id").limit(rows)
     )
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("text"))
-    joined = texts.join(F.broadcast(chosen), "id").select("id", "label", *(
-        value.alias(name) for name, value in statistics("text").items()
-    ))
+    joined = texts.join(F.broadcast(chosen), "id").select(
+        "id", "label", statistics("text").alias("statistics")).select("id", "label", "statistics.*")
     return joined.repartition(4, "id").sortWithinPartitions("id", *NAMES)
 
 
@@ -174,11 +181,13 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> RuleMode
 
 
 def score(docs: DataFrame, model: RuleModel, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` in a struct ``row``, beside it ``name``; nothing is shuffled."""
-    stats = docs.select(F.struct("*").alias("row"), *(
-        value.alias(key) for key, value in statistics(text).items()
-    ))
-    return stats.select("row", model.score().alias(name))
+    """``docs`` in a struct ``row``, beside it ``name``; nothing is shuffled.
+
+    The statistics are bound before they are compared: as plain columns the optimizer would copy
+    them into every rule of a filter on the score, and each copy would read the text again.
+    """
+    value = bind(statistics(text), lambda s: model.score(s.getField))
+    return docs.select(F.struct("*").alias("row"), value.alias(name))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, model: RuleModel | None = None) -> DataFrame:
