@@ -84,8 +84,11 @@ def flag_terms(
 
 
 def allowed_terms(lexicon: DataFrame, allow_pos: Iterable[str]) -> DataFrame:
-    """The lexicon's terms with an allowed flag, broadcast when inside the checked bound."""
-    allowed = lexicon.filter(F.col("flag").isin(*allow_pos)).select("term", "flag")
+    """The lexicon's terms with an allowed flag, broadcast when inside the checked bound.
+
+    One row per term: of several allowed flags of a term the first in alphabetical order counts.
+    """
+    allowed = lexicon.filter(F.col("flag").isin(*allow_pos)).groupBy("term").agg(F.min("flag").alias("flag"))
     return broadcast_within(allowed, BROADCAST_TERMS, BROADCAST_BYTES, "term") or allowed
 
 
@@ -107,10 +110,10 @@ def learn_idf(
 ) -> DataFrame:
     """``(term, df, idf)`` of a corpus, with ``idf = ln(documents / df)``.
 
-    One pass: every document gives its distinct terms and one null, so the count of the null is
+    One pass: every document, with or without text, gives its distinct terms and one null, so the count of the null is
     the number of documents. The counts are materialised; reading the result is cheap.
     """
-    terms = F.array_distinct(keyword_tokens(text, stop_words))
+    terms = F.array_distinct(F.coalesce(keyword_tokens(text, stop_words), F.array().cast("array<string>")))
     marked = docs.select(F.explode(F.concat(terms, F.array(F.lit(None)))).alias("term"))
     counts = materialise(marked.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     marks = counts.filter(F.col("term").isNull()).select("df").first()

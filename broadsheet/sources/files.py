@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import time_to_epoch
@@ -17,12 +17,22 @@ from ..functions.fixed_values import (
 RECORD_SEPARATOR = "\x1e"
 
 
+def _one_line(name: str) -> Column:
+    """A field that fills exactly one line: null is empty, line breaks become a space."""
+    return F.regexp_replace(F.coalesce(F.col(name).cast("string"), F.lit("")), r"[\r\n\x1e]+", " ")
+
+
 def article_text(articles: DataFrame) -> DataFrame:
-    """``(url, day, value)``: title, url, time and body on successive lines; day as YYYYMMDD."""
+    """``(url, day, value)``: title, url, time and body on successive lines; day as YYYYMMDD.
+
+    A null field is an empty line, so no field moves up; line breaks in title, url and time become
+    spaces, and so does a record separator in the body.
+    """
+    body = F.translate(F.coalesce("content", F.lit("")), RECORD_SEPARATOR, " ")
     return articles.select(
         "url",
         F.date_format(F.to_timestamp("time"), "yyyyMMdd").alias("day"),
-        F.concat_ws("\n", "title", "url", "time", "content").alias("value"),
+        F.concat_ws("\n", _one_line("title"), _one_line("url"), _one_line("time"), body).alias("value"),
     )
 
 
@@ -49,7 +59,17 @@ def read_article_text(spark: SparkSession, path: str, one_per_file: bool = False
 
 
 def manifest_lines(entries: DataFrame) -> DataFrame:
-    """``(epoch, url, line)`` with ``line = site###title###path###epoch``, sorted by time."""
+    """``(epoch, url, line)`` with ``line = site###title###path###epoch``, sorted by time.
+
+    Null fields are empty. Inside a field a run of separator characters becomes one such character,
+    and those at its ends go.
+    """
+
+    def entry(name: str) -> Column:
+        mark = MANIFEST_SEPARATOR[0]
+        inner = F.regexp_replace(_one_line(name), f"{mark}{{2,}}", mark)
+        return F.regexp_replace(inner, f"^{mark}|{mark}$", "")
+
     epoch = time_to_epoch(F.col("time")).cast("double")
     return (
         entries.withColumn("epoch", epoch)
@@ -58,7 +78,11 @@ def manifest_lines(entries: DataFrame) -> DataFrame:
             "epoch",
             "url",
             F.concat_ws(
-                MANIFEST_SEPARATOR, "site", "title", "path", F.col("epoch").cast("decimal(20,1)")
+                MANIFEST_SEPARATOR,
+                entry("site"),
+                entry("title"),
+                entry("path"),
+                F.coalesce(F.col("epoch").cast("decimal(20,1)").cast("string"), F.lit("")),
             ).alias("line"),
         )
     )

@@ -145,3 +145,19 @@ def test_chinese_articles_are_found(spark, tmp_path):
     found = lookup.search(store.read_index(spark, path), articles, asked).collect()
     assert {(r.keyword, r.url) for r in found} == {
         ("祈福", "u1"), ("祈福", "u2"), ("香港", "u2"), ("Broadcasting", "u3"), ("法会", "u1")}
+
+
+def test_a_term_with_two_flags_counts_once(spark):
+    lexicon = spark.createDataFrame([("xx", "v"), ("xx", "n"), ("yy", "n")], "term string, flag string")
+    docs = spark.createDataFrame([(1, "xx yy xx")], "doc long, text string")
+    idf = spark.createDataFrame([("xx", 1.0), ("yy", 1.0)], "term string, idf double")
+    for with_flag in (False, True):
+        got = keywords.extract_keywords(docs, ["doc"], idf=idf, lexicon=lexicon, allow_pos=("n", "v"), with_flag=with_flag)
+        rows = {r.term: round(r.weight, 3) for r in got.collect()}
+        assert got.count() == 2 and rows == {"xx": 0.667, "yy": 0.333}
+
+
+def test_documents_without_text_count_in_the_idf(spark):
+    docs = spark.createDataFrame([("aa",), ("aa bb",), (None,)], "text string")
+    learned = {r.term: round(r.idf, 6) for r in keywords.learn_idf(docs).collect()}
+    assert learned == {"aa": round(math.log(3 / 2), 6), "bb": round(math.log(3), 6)}

@@ -4,7 +4,7 @@ import glob
 
 from pyspark.sql import functions as F
 
-from broadsheet.operators import keywords, store
+from broadsheet.operators import keywords, lookup, store
 from broadsheet.sources import articles, files
 
 CELLS = [
@@ -132,3 +132,34 @@ def test_capitalised_stop_word_never_matches(spark, tmp_path):
     left = keywords.drop_stop_terms(terms, ["doc"], listed).orderBy("term").collect()
     assert [(r.term, r.freq, r.total) for r in left] == [
         ("Cat", 1, 4), ("bird", 2, 4), ("cat", 1, 4)]
+
+
+def test_article_text_keeps_the_layout(spark, tmp_path):
+    made = spark.createDataFrame(
+        [("u1", None, "2015-11-03 00:00:00", "a\nb"), ("u2", "x\ny", "2015-11-03 00:00:00", "c\x1ed")],
+        "url string, title string, time string, content string",
+    )
+    path = str(tmp_path / "layout")
+    files.write_article_text(made, path)
+    back = {r.url: (r.title, r.time, r.content) for r in files.read_article_text(spark, path).collect()}
+    assert back == {"u1": ("", "2015-11-03 00:00:00", "a\nb"), "u2": ("x y", "2015-11-03 00:00:00", "c d")}
+
+
+def test_manifest_titles_hold_no_separator(spark):
+    made = spark.createDataFrame(
+        [("s", "#a###b\nc#", "p", "2015-11-03 00:00:00", "u"), ("s", None, "p", "2015-11-03 00:00:01", "u")],
+        "site string, title string, path string, time string, url string",
+    )
+    lines = [r.line.split("###") for r in files.manifest_lines(made).collect()]
+    assert [x[:3] for x in lines] == [["s", "a#b c", "p"], ["s", "", "p"]] and all(len(x) == 4 for x in lines)
+
+
+def test_search_shuffles_neither_index_nor_articles(spark):
+    index = spark.createDataFrame([("aa", 0, ["u1", "u9"]), ("bb", 0, ["u2"])], "term string, part int, urls array<string>")
+    articles = spark.createDataFrame([("u1", "t1", "c1"), ("u2", "t2", "c2")], "url string, title string, content string")
+    asked = spark.createDataFrame([("aa",), ("",), ("zz",)], "keyword string")
+    found = sorted(tuple(r) for r in lookup.search(index, articles, asked).collect())
+    assert found == [("aa", "u1", "t1", "c1"), ("aa", "u9", None, None)]
+    assert lookup.search(index, articles, asked.limit(0)).count() == 0
+    plan = lookup.lookup_terms(index, asked)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
