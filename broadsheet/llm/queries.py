@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_template, imatch, licences, packing, pii, quality, sharding, simhash
+from . import (
+    chat, decontaminate, html_template, imatch, jaccard, licences, merkle, packing, pii, quality, repair, sharding, simhash,
+)
+from .oracle import ORACLE  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 SHARDS = 40
 TOKENIZER = "word_bpe_49k.json"
@@ -126,3 +128,22 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op10_imatch(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return imatch.compare_with_next(documents(spark, folder))
+
+
+@query
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether the tampered table still fits them."""
+    return merkle.document_manifest(table(spark, folder, "documents", "doc_id", "source", "lang", "n_chars", "text"))
+
+
+@query
+def op12_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Number of shingles and class of every document."""
+    return jaccard.join(documents(spark, folder))
+
+
+@query
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after the damage."""
+    turns = table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
+    return repair.repair(repair.damaged(turns))
