@@ -7,9 +7,9 @@ at least ``needed(a, b)``, so most of the product is never formed:
 * Rows with equal sets are one row, and their documents are members of it.
 * The columns of a row are in one global order, rare ones first. The first block of a row, its
   *prefix*, is so long that two rows that link share a column of it (n - needed + 1 columns). Only
-  this block is multiplied column by column, in cells of the rows that hold a column. Counting the
-  prefixes again and again finds the frequent columns, and rows that begin with one are ordered anew;
-  any order gives the same links, so the table of frequent columns may be bounded (``MAX_LEVELS``).
+  this block is multiplied column by column, in cells of the rows that hold a column. Which columns are
+  frequent is counted over the prefixes of all rows in hash order; any order gives the same links, so
+  the table of the most frequent ones may be bounded (``MAX_LEVELS``).
 * In a cell, sizes bound the partners of a row to a range, and 256 parities of the columns of each row
   bound the overlap from above (each parity that differs is a column that only one row has).
 * What is left is counted: the product goes on over the other column blocks, ranges of the hash
@@ -21,8 +21,10 @@ the links found are contracted, and so again (``NEAREST_ROUNDS``); only then are
 pairs of different classes counted, each once. Groups of copies thus make about as many pairs as rows.
 Cells of more than ``HOT`` rows are dealt out as pairs of blocks. No link is lost and nothing is capped.
 
-N-grams are compared by 64-bit hashes, sets by 128-bit digests of them. Texts are read again for the
-few rows whose columns are ordered anew or counted; no matrix is stored.
+N-grams are compared by 64-bit hashes, sets by 128-bit digests of them. No matrix is stored and no text
+is shuffled: columns are made from the texts where these lie, once for the frequent columns, once for
+the prefixes and, of rows with candidates only, for the counts. The keys of such rows are broadcast
+within a checked bound; beyond it texts are joined by shuffle.
 
 Edge cases: a null text or one without words has the empty set, which links with nothing; a text of
 fewer words than an n-gram has one column, all its words. A row with a null id gets the smallest other
@@ -45,12 +47,18 @@ from ..session import broadcast_within, written
 from .simhash import components
 
 SHINGLE, PERCENT = 3, 90
-#: Columns of more prefixes than this get a level, by which rows are ordered.
-FREQUENT = 8
+#: Prefix lengths of each row over which columns are counted.
+COUNTED = 3
+#: Columns of more rows than this get a level, by which rows are ordered.
+FREQUENT = 16
 #: Bound of the broadcast table of frequent columns: 2 x 8 bytes each.
 MAX_LEVELS = 500_000
-#: Rounds of ordering anew, and of meeting the nearest row.
-ORDERINGS, NEAREST_ROUNDS = 3, 2
+#: Rounds of meeting the nearest row.
+NEAREST_ROUNDS = 2
+#: Bounds of the broadcast keys of rows whose columns are counted.
+WANTED_ROWS, WANTED_BYTES = 2_000_000, 32 << 20
+#: Entries of prefixes that a task adds up before it passes them on.
+ENTRIES_AT_ONCE = 1_000_000
 #: Cells of more rows are dealt out as pairs of blocks of about so many.
 HOT = 4096
 #: Cells up to this size are compared all at once, larger ones row by row.
@@ -109,7 +117,7 @@ def parities(values: np.ndarray) -> np.ndarray:
 class Order:
     """Columns in ascending (level, hash); a column that isn't listed has level 0."""
 
-    def __init__(self, listed: np.ndarray, levels: np.ndarray) -> None:
+    def __init__(self, listed: np.ndarray = np.empty(0, np.uint64), levels: np.ndarray = np.empty(0, np.int64)) -> None:
         by = np.argsort(listed)
         self.listed, self.levels = listed[by], levels[by]
 
@@ -127,11 +135,42 @@ def _key(text):
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
-def describe(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, key, n, digest, prefix, bits``: the row of each document, in hash order."""
+def frequent(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, limit: int | None = None) -> Order:
+    """The order of the columns, from their counts in the beginnings of all rows in hash order.
+
+    The beginning is longer than the prefix, so that what follows a frequent column is counted too.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held, entries = _Words(), [], 0
+
+        def added() -> pa.RecordBatch:
+            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            return pa.record_batch([pa.array(values.view(np.int64)), pa.array(counts)], ["col", "rows"])
+
+        for batch in batches:
+            for text in batch.column(0):
+                values = columns(text.as_py(), known, size)
+                held.append(values[: COUNTED * prefix_length(len(values), percent)])
+                entries += len(held[-1])
+                if entries > ENTRIES_AT_ONCE:
+                    yield added()
+                    held, entries = [], 0
+        if held:
+            yield added()
+
+    counts = docs.select("text").mapInArrow(count, "col long, rows long").groupBy("col").agg(F.sum("rows").alias("rows"))
+    most = counts.where(F.col("rows") > FREQUENT).orderBy(F.desc("rows"), "col").limit(limit or MAX_LEVELS).select(
+        "col", F.floor(F.log2("rows")).cast("long").alias("level")).toPandas()
+    return Order(most["col"].to_numpy(np.int64).view(np.uint64), most["level"].to_numpy(np.int64))
+
+
+def describe(docs: DataFrame, order: Order = Order(), size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, key, n, digest, prefix, bits``: the row of each document."""
+    shared = docs.sparkSession.sparkContext.broadcast((order.listed, order.levels))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, order = _Words(), Order(np.empty(0, np.uint64), np.empty(0, np.int64))
+        known, order = _Words(), Order(*shared.value)
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
@@ -149,20 +188,21 @@ def describe(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
         read, "doc_id long, key binary, n long, digest binary, prefix binary, bits binary")
 
 
-def _read_again(docs: DataFrame, wanted: DataFrame, make) -> DataFrame:
-    """``node, value``: ``make(columns)`` of the text of each ``wanted(node, key)``."""
+def whole_rows(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``node, row``: all columns of each ``wanted(node, key)``, from its text."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                values = [make(text.as_py(), known) for text in batch.column(1)]
-                yield pa.record_batch([batch.column(0), pa.array(values, pa.binary())], ["node", "value"])
+                rows = [columns(text.as_py(), known, size).tobytes() for text in batch.column(1)]
+                yield pa.record_batch([batch.column(0), pa.array(rows, pa.binary())], ["node", "row"])
 
-    texts = docs.select(_key(F.col("text")).alias("key"), "text").join(wanted, "key").select("node", "text")
-    # copies of a text give the same value
-    return texts.mapInArrow(read, "node long, value binary").groupBy("node").agg(F.min("value").alias("value"))
+    bounded = broadcast_within(wanted, WANTED_ROWS, WANTED_BYTES, "key")
+    texts = docs.select(_key(F.col("text")).alias("key"), "text").join(wanted if bounded is None else bounded, "key")
+    # copies of a text give the same row
+    return texts.select("node", "text").mapInArrow(read, "node long, row binary").groupBy("node").agg(F.min("row").alias("row"))
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,47 +224,6 @@ def entries(sets: DataFrame) -> DataFrame:
     return sets.select("node", "prefix").mapInArrow(_unpack, "node long, place int, col long")
 
 
-def ordered(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """``sets`` with prefixes that begin with rare columns, and ``col, rows`` of the shared columns.
-
-    A prefix changes only if it holds a column that has become frequent, so only these are read again.
-    """
-    spark, levels = docs.sparkSession, {}
-    for last in [False] * ORDERINGS + [True]:
-        counts = written(
-            entries(sets).groupBy("col").agg(F.count("*").alias("rows")).where("rows > 1"), "column-counts")
-        level = F.floor(F.log2("rows")).cast("int")
-        found = {} if last else {
-            c: k for c, k in counts.where(F.col("rows") > FREQUENT).orderBy(F.desc("rows"), "col").limit(MAX_LEVELS)
-            .select("col", level).toPandas().itertuples(index=False)}
-        found = {c: k for c, k in found.items() if levels.get(c, 0) < k}
-        if not found or len(levels) + len(found) > MAX_LEVELS:
-            return sets, counts
-        levels |= found
-        shared = spark.sparkContext.broadcast((
-            np.fromiter(levels, np.int64, len(levels)).view(np.uint64),
-            np.fromiter(levels.values(), np.int64, len(levels))))
-        fresh = spark.sparkContext.broadcast(np.sort(np.fromiter(found, np.int64, len(found))))
-
-        def touched(prefixes: pa.Array) -> pa.Array:
-            values = fresh.value
-            return pa.array([bool(np.isin(np.frombuffer(p.as_py(), np.int64), values).any()) for p in prefixes])
-
-        def prefix(text: str | None, known: dict) -> bytes:
-            if "order" not in held:
-                held["order"] = Order(*shared.value)
-            return held["order"].prefix(columns(text, known, size), percent).tobytes()
-
-        held: dict = {}
-        is_touched = F.arrow_udf(touched, "boolean")
-        marked = written(sets.withColumn("again", is_touched("prefix")), "sets")
-        anew = _read_again(docs, marked.where("again").select("node", "key"), prefix)
-        sets = written(
-            marked.join(anew, "node", "left").withColumn("prefix", F.coalesce("value", "prefix"))
-            .drop("again", "value"), "sets")
-    raise AssertionError
-
-
 def _partners(keys: np.ndarray, n: np.ndarray, bits: np.ndarray, root: np.ndarray, nearest: bool, percent: int):
     """Positions of pairs that may link, of rows sorted by (cell, n) with whole cells."""
     def possible(a, b):
@@ -324,11 +323,10 @@ def count_pairs(docs: DataFrame, sets: DataFrame, pairs: DataFrame, size: int =
             yield batch.select([0, 1]).filter(linked)
 
     pairs = written(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    rows = written(_read_again(
-        docs, sets.join(wanted, "node", "left_semi").select("node", "key"),
-        lambda text, known: columns(text, known, size).tobytes()), "rows")
-    first, second = (rows.select(F.col("node").alias(c), F.col("value").alias(f"row_{c}")) for c in "ab")
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = written(sets.select("node", "key").join(nodes, "node", "left_semi"), "wanted")
+    rows = written(whole_rows(docs, wanted, size), "rows")
+    first, second = (rows.select(F.col("node").alias(c), F.col("row").alias(f"row_{c}")) for c in "ab")
     return written(
         pairs.join(first, "a").join(second, "b").select("a", "b", "row_a", "row_b")
         .mapInArrow(count, "a long, b long"), "links")
@@ -365,14 +363,14 @@ def roots_of(docs: DataFrame, sets: DataFrame, cells: DataFrame, size: int = SHI
 def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs(doc_id, text)``."""
     docs = docs.select("doc_id", "text")
-    table = written(describe(docs, size, percent), "described")
+    table = written(describe(docs, frequent(docs, size, percent), size, percent), "described")
     sets = written(
         table.where("n > 0").groupBy("digest").agg(
             F.min("key").alias("key"), F.min("doc_id").alias("least"), F.min("n").alias("n"),
             F.min("prefix").alias("prefix"), F.min("bits").alias("bits"))
         .withColumn("node", F.monotonically_increasing_id()), "sets")
-    sets, counts = ordered(docs, sets, size, percent)
-    cells = written(dealt(sets, counts), "cells")
+    counts = entries(sets).groupBy("col").agg(F.count("*").alias("rows")).where("rows > 1")
+    cells = written(dealt(sets, written(counts, "column-counts")), "cells")
     roots = roots_of(docs, sets, cells, size, percent)
     members = sets.select("node", "digest", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = members.groupBy("root").agg(F.min("least").alias("component_id"))

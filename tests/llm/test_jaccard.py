@@ -73,8 +73,9 @@ def test_columns_and_counts_by_hand():
         assert differ <= len(a) + len(b) - 2 * both
 
 
-def test_planted_groups(spark):
-    """Copies, chains, near misses and a passage that half of the texts share."""
+def test_planted_groups(spark, monkeypatch):
+    """Copies, chains, near misses and a passage that half of the texts share; a short table of columns."""
+    monkeypatch.setattr(jaccard, "MAX_LEVELS", 10)
     chance, texts = random.Random(5), []
     passage = [f"p{i}" for i in range(60)]
     for _ in range(60):
@@ -93,8 +94,8 @@ def test_planted_groups(spark):
 
 
 def test_large_group_of_near_copies(spark, monkeypatch):
-    """All rows of a group share most columns; cells are split and the group is found without all pairs."""
-    monkeypatch.setattr(jaccard, "HOT", 64)
+    """All rows of a group share most columns; wanted keys are joined by shuffle here."""
+    monkeypatch.setattr(jaccard, "WANTED_ROWS", 0)
     chance = random.Random(7)
     words = [f"g{i}" for i in range(120)]
     texts = [" ".join(edited(chance, words, chance.randrange(0, 3))) for _ in range(400)]
@@ -104,16 +105,17 @@ def test_large_group_of_near_copies(spark, monkeypatch):
 
 
 def test_frequent_columns_come_last(spark):
-    """Rows that begin with a frequent column are ordered anew, so that no cell holds them all."""
+    """Rare columns come first, so that no cell holds all rows of a passage."""
     passage = " ".join(f"p{i}" for i in range(60))
     texts = [f"{passage} " + " ".join(f"r{i}x{j}" for j in range(60)) for i in range(300)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    sets = jaccard.describe(docs).withColumnRenamed("doc_id", "node").persist()
-    before = jaccard.entries(sets).groupBy("col").count().agg({"count": "max"}).first()[0]
-    again, counts = jaccard.ordered(docs, sets, 3, 90)
-    assert before > 20 and counts.where(f"rows > {jaccard.FREQUENT}").count() == 0
-    assert {r.node: len(r.prefix) for r in again.collect()} == {r.node: len(r.prefix) for r in sets.collect()}
-    sets.unpersist()
+    order = jaccard.frequent(docs)
+    before, after = (jaccard.describe(docs, o).withColumnRenamed("doc_id", "node") for o in (jaccard.Order(), order))
+    most = [jaccard.entries(x).groupBy("col").count().agg({"count": "max"}).first()[0] for x in (before, after)]
+    assert most[0] == 300 and most[1] < 30 and len(order.listed)
+    assert [r.prefix for r in before.collect()] != [r.prefix for r in after.collect()]
+    # a bounded table gives another order only
+    assert len(jaccard.frequent(docs, limit=3).listed) == 3
 
 
 def test_edge_cases(spark, make_docs):
