@@ -12,13 +12,13 @@ at least ``needed(a, b)``, so most of the product is never formed:
   the table of the most frequent ones may be bounded (``MAX_LEVELS``).
 * In a cell, sizes bound the partners of a row to a range, and 256 parities of the columns of each row
   bound the overlap from above (each parity that differs is a column that only one row has).
-* What is left is counted: the product goes on over the other column blocks, ranges of the hash
-  values, and a pair is discarded as soon as its count and the rest of its blocks can't reach the
-  bound.
+* What is left is counted, first over the prefixes, then over the other column blocks, ranges of the
+  hash values, and a pair is discarded as soon as its count and the rest of its blocks can't reach
+  the bound.
 
-Classes need no more than a spanning forest. So each row first meets the nearest row of its cells,
-the links found are contracted, and so again (``NEAREST_ROUNDS``); only then are all other
-pairs of different classes counted, each once. Groups of copies thus make about as many pairs as rows.
+Classes need no more than a spanning forest. So each row of a larger cell first meets the nearest row
+there, and the links found are contracted; only then are all other pairs of different classes counted,
+each once. Groups of copies thus make about as many pairs as rows.
 Cells of more than ``HOT`` rows are dealt out as pairs of blocks. No link is lost and nothing is capped.
 
 N-grams are compared by 64-bit hashes, sets by 128-bit digests of them. No matrix is stored and no text
@@ -48,14 +48,12 @@ from .simhash import components
 
 SHINGLE, PERCENT = 3, 90
 #: Prefix lengths of each row over which columns are counted.
-COUNTED = 3
+COUNTED = 2
 #: Columns of more rows than this get a level, by which rows are ordered.
 FREQUENT = 16
 #: Bound of the broadcast table of frequent columns: 2 x 8 bytes each.
 MAX_LEVELS = 500_000
-#: Rounds of meeting the nearest row.
-NEAREST_ROUNDS = 2
-#: Bounds of the broadcast keys of rows whose columns are counted.
+#: Bounds of the broadcast keys of rows that are counted.
 WANTED_ROWS, WANTED_BYTES = 2_000_000, 32 << 20
 #: Entries of prefixes that a task adds up before it passes them on.
 ENTRIES_AT_ONCE = 1_000_000
@@ -121,14 +119,24 @@ class Order:
         by = np.argsort(listed)
         self.listed, self.levels = listed[by], levels[by]
 
+    def level(self, values: np.ndarray) -> np.ndarray:
+        if not len(self.listed):
+            return np.zeros(len(values), np.int64)
+        at = np.minimum(np.searchsorted(self.listed, values), len(self.listed) - 1)
+        return np.where(self.listed[at] == values, self.levels[at], 0)
+
     def prefix(self, values: np.ndarray, percent: int) -> np.ndarray:
         length = prefix_length(len(values), percent)
         if len(self.listed) and length < len(values):
-            at = np.minimum(np.searchsorted(self.listed, values), len(self.listed) - 1)
-            level = np.where(self.listed[at] == values, self.levels[at], 0)
-            values = values[np.argsort(level, kind="stable")]
+            values = values[np.argsort(self.level(values), kind="stable")]
         return values[:length]
 
+    def missing(self, a: np.ndarray, b: np.ndarray) -> int:
+        """How many columns of the prefix ``a`` surely aren't in the row that begins with ``b``."""
+        level, last = self.level(a), self.level(b[-1:])[0]
+        before = (level < last) | ((level == last) & (a <= b[-1]))
+        return int(before.sum() - np.isin(a[before], b).sum())
+
 
 def _key(text):
     """What stands for a text when it is looked up again."""
@@ -206,7 +214,7 @@ def whole_rows(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE) -> DataF
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Prefixes to one row a column, with its place."""
+    """Prefixes to one row a column."""
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
             part = batch.slice(at, 1024)
@@ -214,14 +222,12 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes = np.array([len(x) for x in lists])
             if sizes.sum():
                 node = np.repeat(part.column(0).to_numpy(), sizes)
-                place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                yield pa.record_batch([pa.array(node), pa.array(place.astype(np.int32)), pa.array(np.concatenate(lists))],
-                                      ["node", "place", "col"])
+                yield pa.record_batch([pa.array(node), pa.array(np.concatenate(lists))], ["node", "col"])
 
 
 def entries(sets: DataFrame) -> DataFrame:
-    """The first column block of the matrix: ``node, place, col``."""
-    return sets.select("node", "prefix").mapInArrow(_unpack, "node long, place int, col long")
+    """The first column block of the matrix: ``node, col``."""
+    return sets.select("node", "prefix").mapInArrow(_unpack, "node long, col long")
 
 
 def _partners(keys: np.ndarray, n: np.ndarray, bits: np.ndarray, root: np.ndarray, nearest: bool, percent: int):
@@ -313,8 +319,35 @@ def overlap_reaches(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> boo
     return False
 
 
-def count_pairs(docs: DataFrame, sets: DataFrame, pairs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The ``pairs(a, b)`` that link, written; the rows concerned are read again from their texts."""
+def _joined(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``a, b`` and the other columns of ``rows(node, ...)`` of both."""
+    for c in "ab":
+        pairs = pairs.join(rows.select(*(F.col(x).alias(c if x == "node" else f"{x}_{c}") for x in rows.columns)), c)
+    return pairs
+
+
+def _nodes(pairs: DataFrame) -> DataFrame:
+    """The nodes of written pairs, written; broadcast within a bound."""
+    nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
+    bounded = broadcast_within(nodes, WANTED_ROWS, WANTED_BYTES, F.lit("8 bytes."))
+    return nodes if bounded is None else bounded
+
+
+def count_pairs(docs: DataFrame, sets: DataFrame, pairs: DataFrame, order: Order, size: int = SHINGLE,
+                percent: int = PERCENT) -> DataFrame:
+    """The ``pairs(a, b)`` that link, written."""
+    shared = docs.sparkSession.sparkContext.broadcast((order.listed, order.levels))
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = Order(*shared.value)
+        for batch in batches:
+            kept = []
+            for n, head, m, other in zip(*(batch.column(i) for i in range(2, 6))):
+                n, m, head, other = n.as_py(), m.as_py(), *(np.frombuffer(x.as_py(), np.uint64) for x in (head, other))
+                bound = needed(n, m, percent)
+                kept.append(n - order.missing(head, other) >= bound and m - order.missing(other, head) >= bound)
+            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = pa.array([
@@ -323,47 +356,44 @@ def count_pairs(docs: DataFrame, sets: DataFrame, pairs: DataFrame, size: int =
             yield batch.select([0, 1]).filter(linked)
 
     pairs = written(pairs, "pairs")
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = written(sets.select("node", "key").join(nodes, "node", "left_semi"), "wanted")
+    heads = sets.select("node", "n", "prefix").join(_nodes(pairs), "node")
+    left = written(_joined(pairs, heads).select("a", "b", "n_a", "prefix_a", "n_b", "prefix_b")
+                   .mapInArrow(begin, "a long, b long"), "pairs")
+    wanted = written(sets.select("node", "key").join(_nodes(left), "node"), "wanted")
     rows = written(whole_rows(docs, wanted, size), "rows")
-    first, second = (rows.select(F.col("node").alias(c), F.col("row").alias(f"row_{c}")) for c in "ab")
-    return written(
-        pairs.join(first, "a").join(second, "b").select("a", "b", "row_a", "row_b")
-        .mapInArrow(count, "a long, b long"), "links")
+    return written(_joined(left, rows).select("a", "b", "row_a", "row_b").mapInArrow(count, "a long, b long"), "links")
 
 
 def dealt(sets: DataFrame, counts: DataFrame, hot: int = HOT) -> DataFrame:
-    """``col, cell, node, place`` of the shared columns; hot columns as pairs of blocks of rows."""
+    """``col, cell, node`` of the shared columns; hot columns as pairs of blocks of rows."""
     blocks = F.when(F.col("rows") > hot, F.ceil(F.col("rows") / hot)).cast("int")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     spread = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
                          lambda o: F.least(o, block) * F.col("blocks") + F.greatest(o, block))
     cell = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(spread)
     return entries(sets).join(counts.withColumn("blocks", blocks), "col").select(
-        "col", F.explode(cell).alias("cell"), "node", "place")
+        "col", F.explode(cell).alias("cell"), "node")
 
 
-def roots_of(docs: DataFrame, sets: DataFrame, cells: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def roots_of(docs: DataFrame, sets: DataFrame, cells: DataFrame, order: Order, size: int = SHINGLE,
+             percent: int = PERCENT) -> DataFrame:
     """``node, root`` of the nodes that link with others."""
     rows = sets.select("node", "n", "bits")
-    links, roots = None, None
-    for turn in range(NEAREST_ROUNDS + 1):
-        here = rows.withColumn("root", F.col("node"))
-        if roots is not None:
-            here = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        # the first round sees two columns of each row only; the last one lists all pairs of all cells
-        seen = cells if turn else cells.where("place < 2")
-        found = count_pairs(docs, sets, candidates(seen, here, turn < NEAREST_ROUNDS, percent), size, percent)
+    links, roots = None, rows.select("node", F.col("node").alias("root")).limit(0)
+    for nearest in (True, False):
+        here = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        found = count_pairs(docs, sets, candidates(cells, here, nearest, percent), order, size, percent)
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             roots = written(components(links), "roots")
-    return roots if roots is not None else rows.select("node", F.col("node").alias("root")).limit(0)
+    return roots
 
 
 def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs(doc_id, text)``."""
     docs = docs.select("doc_id", "text")
-    table = written(describe(docs, frequent(docs, size, percent), size, percent), "described")
+    order = frequent(docs, size, percent)
+    table = written(describe(docs, order, size, percent), "described")
     sets = written(
         table.where("n > 0").groupBy("digest").agg(
             F.min("key").alias("key"), F.min("doc_id").alias("least"), F.min("n").alias("n"),
@@ -371,7 +401,7 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
         .withColumn("node", F.monotonically_increasing_id()), "sets")
     counts = entries(sets).groupBy("col").agg(F.count("*").alias("rows")).where("rows > 1")
     cells = written(dealt(sets, written(counts, "column-counts")), "cells")
-    roots = roots_of(docs, sets, cells, size, percent)
+    roots = roots_of(docs, sets, cells, order, size, percent)
     members = sets.select("node", "digest", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = members.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = members.join(least, "root").select("digest", "component_id")
