@@ -5,13 +5,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from .fixed_values import CJK_FIRST, CJK_LAST, INVALID_TEXT, KEYWORD_STOP_WORDS
 
 CJK = f"[{CJK_FIRST}-{CJK_LAST}]"
 WORD = r"[\p{L}\p{N}]"
+SPANS = "array<struct<term: string, startpos: bigint, endpos: bigint>>"
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -126,9 +128,48 @@ def token_spans(text: Column | str) -> Column:
     found = bind(
         F.struct(words.alias("words"), bind(F.split(mask, ""), starts).alias("starts")), spans
     )
-    return F.filter(
-        found, lambda t: t["term"].rlike(f"^{CJK}") | (F.length(t["term"]) > 1)
-    )
+    return F.filter(found, lambda t: _is_search_token(t["term"]))
+
+
+def _ready(df: DataFrame, text: str) -> Column | None:
+    """The column of ready tokens, ``array<struct<term, ...>>`` or ``array<string>``, if it is one."""
+    kind = df.schema[text].dataType
+    if not isinstance(kind, ArrayType):
+        return None
+    if isinstance(kind.elementType, StructType):
+        return F.transform(F.col(text), lambda t: t["term"])
+    return F.col(text)
+
+
+def token_array(df: DataFrame, text: str) -> Column:
+    """``tokens`` of a text column, or the ready tokens of an array column."""
+    ready = _ready(df, text)
+    return tokens(text) if ready is None else ready
+
+
+def keyword_array(
+    df: DataFrame, text: str, stop_words: Iterable[str] = KEYWORD_STOP_WORDS
+) -> Column:
+    """``keyword_tokens`` of a text column, or the ready tokens that may become keywords."""
+    ready = _ready(df, text)
+    if ready is None:
+        return keyword_tokens(text, stop_words)
+    stop_words = tuple(stop_words)
+    return F.filter(ready, lambda t: is_keyword(t, stop_words))
+
+
+def span_array(df: DataFrame, text: str) -> Column:
+    """``token_spans`` of a text column, or the ready search tokens with their offsets."""
+    kind = df.schema[text].dataType
+    if not isinstance(kind, ArrayType):
+        return token_spans(text)
+    if not isinstance(kind.elementType, StructType):
+        raise ValueError(f"{text}: ready search tokens need offsets, array<struct<term, startpos, endpos>>")
+    return F.filter(F.col(text), lambda t: _is_search_token(t["term"]))
+
+
+def _is_search_token(term: Column) -> Column:
+    return term.rlike(f"^{CJK}") | (F.length(term) > 1)
 
 
 def count_values(values: Column) -> Column:

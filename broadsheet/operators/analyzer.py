@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed_values import ANALYZER_STOP_WORDS
 from ..functions.porter import stem as stem_of
-from ..functions.text import token_spans
+from ..functions.text import span_array
 
 
 def tokens_with_offsets(docs: DataFrame, ids: Sequence[str], text: str = "text") -> DataFrame:
     """``(ids, term, startpos, endpos)`` of the search tokens."""
-    return docs.select(*ids, F.inline(token_spans(text)))
+    return docs.select(*ids, F.inline(span_array(docs, text)))
 
 
 def lower_case(token_rows: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from ..functions.fixed_values import (
     RANK_ROUNDS,
     RANK_SPAN,
 )
-from ..functions.text import bind, count_values, is_keyword, tokens
+from ..functions.text import bind, count_values, is_keyword, token_array
 from .keywords import allowed_terms, explode_tokens, keyword_rows, top_terms
 
 TOKENS_PER_CHUNK = 2_000_000
@@ -51,7 +51,7 @@ def kept_tokens(
     if lexicon is None:
         kept = F.filter(
             F.transform(
-                tokens(text), lambda t, i: F.struct(i.alias("pos"), t.alias("term"))
+                token_array(docs, text), lambda t, i: F.struct(i.alias("pos"), t.alias("term"))
             ),
             lambda t: is_keyword(t["term"], stop_words),
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import tokens, unescape
+from ..functions.text import token_array, unescape
 from ..session import written
 from .keywords import extract_keywords
 
@@ -28,7 +28,7 @@ def field_texts(cells: DataFrame, *qualifiers: str, escaped: bool = False) -> Da
 
 
 def article_texts(articles: DataFrame) -> DataFrame:
-    """``(url, qualifier, text)`` of the title and content of wide articles."""
+    """``(url, qualifier, text)`` of the title and content, texts or ready tokens, of wide articles."""
     return articles.unpivot("url", ["title", "content"], "qualifier", "text").filter(
         F.col("text").isNotNull()
     )
@@ -43,7 +43,7 @@ def field_keywords(
 
 def title_tokens(titles: DataFrame, text: str = "title") -> DataFrame:
     """Every token of every title: ``(url, term)``, duplicates and separators included."""
-    return titles.select("url", F.explode(tokens(text)).alias("term"))
+    return titles.select("url", F.explode(token_array(titles, text)).alias("term"))
 
 
 def invert(terms: DataFrame) -> DataFrame:

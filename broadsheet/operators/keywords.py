@@ -1,4 +1,7 @@
-"""Keyword extraction: word and term counts, IDF, TF-IDF weights and the top terms per document."""
+"""Keyword extraction: word and term counts, IDF, TF-IDF weights and the top terms per document.
+
+The column ``text`` may hold texts or ready tokens, ``array<string>`` or ``array<struct<term, ...>>``.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import KEYWORD_STOP_WORDS
-from ..functions.text import count_values, is_keyword, keyword_tokens, tokens
+from ..functions.text import count_values, is_keyword, keyword_array, token_array
 from ..session import broadcast_within, materialise
 
 # A broadcast IDF table stays within both bounds; beyond them ``weigh`` splits the vocabulary.
@@ -22,13 +25,13 @@ RANGES_PER_UNIT = 10_000
 
 def explode_tokens(docs: DataFrame, ids: Sequence[str], text: str = "text") -> DataFrame:
     """One row per token of the whole text: ``(ids, pos, term)``, positions from 0."""
-    return docs.select(*ids, F.posexplode(tokens(text)).alias("pos", "term"))
+    return docs.select(*ids, F.posexplode(token_array(docs, text)).alias("pos", "term"))
 
 
 def word_count(docs: DataFrame, text: str = "text") -> DataFrame:
     """Corpus count of every keyword token; counts are combined inside each document first."""
     return (
-        docs.select(F.inline(count_values(keyword_tokens(text))).alias("term", "n"))
+        docs.select(F.inline(count_values(keyword_array(docs, text))).alias("term", "n"))
         .groupBy("term")
         .agg(F.sum("n").alias("n"))
     )
@@ -44,7 +47,7 @@ def term_frequencies(
 
     Nothing is shuffled: a document is one row and is counted inside it.
     """
-    kept = docs.select(*ids, keyword_tokens(text, stop_words).alias("__kept"))
+    kept = docs.select(*ids, keyword_array(docs, text, stop_words).alias("__kept"))
     return kept.select(
         *ids,
         F.size("__kept").cast("bigint").alias("total"),
@@ -113,7 +116,7 @@ def learn_idf(
     One pass: every document, with or without text, gives its distinct terms and one null, so the count of the null is
     the number of documents. The counts are materialised; reading the result is cheap.
     """
-    terms = F.array_distinct(F.coalesce(keyword_tokens(text, stop_words), F.array().cast("array<string>")))
+    terms = F.array_distinct(F.coalesce(keyword_array(docs, text, stop_words), F.array().cast("array<string>")))
     marked = docs.select(F.explode(F.concat(terms, F.array(F.lit(None)))).alias("term"))
     counts = materialise(marked.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     marks = counts.filter(F.col("term").isNull()).select("df").first()

@@ -80,13 +80,13 @@ def _tokens(table: str, ids: str, text: str = "text") -> str:
     )
 
 
-DOC_TOKENS = f"tokens as ({_tokens('documents', 'doc_id')})"
+DOC_TOKENS = f"tokens as materialized ({_tokens('documents', 'doc_id')})"
 IS_KEYWORD = f"length(trim(term)) >= 2 and lower(term) not in ({_quoted(KEYWORD_STOP_WORDS)})"
 
 
 def _terms(name: str, tokens: str, ids: str) -> str:
     return f"""
-{name} as (
+{name} as materialized (
   select {ids}, term, count(*) as freq,
          (sum(count(*)) over (partition by {ids}))::bigint as total
   from {tokens} where {IS_KEYWORD} group by {ids}, term)"""
@@ -94,7 +94,7 @@ def _terms(name: str, tokens: str, ids: str) -> str:
 
 DOC_TERMS = f"{DOC_TOKENS}, {_terms('terms', 'tokens', 'doc_id')}"
 DOC_IDF = f"""{DOC_TERMS},
-learned as (
+learned as materialized (
   select term, count(*) as df, ln((select count(*) from documents) / count(*)::double) as idf
   from terms group by term)"""
 
@@ -293,7 +293,7 @@ spans as (
   where length(term) > 1)"""
 _add("tokens_offsets", f"with {DOC_TOKENS}, {_SPANS} select doc_id, term, startpos, endpos from spans")
 _ANALYZED = f"""{DOC_TOKENS}, {_SPANS},
-analyzed as (
+analyzed as materialized (
   select doc_id, lower(term) as term, startpos, endpos from spans
   where lower(term) not in ({_quoted(ANALYZER_STOP_WORDS)}))"""
 
@@ -355,12 +355,95 @@ def _stems(source: str) -> str:
     ctes = [f"stem0 as (select term, case when term like 'y%' then 'Y' || term[2:] else term end "
             f"as w from (select distinct term from {source}))"]
     for n, step in enumerate(steps):
-        ctes.append(f"stem{n + 1} as (select term, {step} as w from stem{n})")
+        ctes.append(f"stem{n + 1} as materialized (select term, {step} as w from stem{n})")
     ctes.append(f"stems as (select term, case when length(term) < 3 then term when w like 'Y%' "
                 f"then 'y' || w[2:] else w end as stem from stem{len(steps)})")
     return ",\n".join(ctes)
 
 
+_CJK = f"{fixed.CJK_FIRST}-{fixed.CJK_LAST}"
+
+
+def _chinese(expr: str) -> str:
+    return (f"regexp_replace(translate({expr}, '{q.LETTERS}', '{q.CHINESE}'), "
+            rf"'([{_CJK}]+) ([{_CJK}]+)', '\1\2', 'g')")
+
+
+def _segmented(source: str, ids: str, text: str) -> str:
+    """CTEs up to ``segmented(ids, term, startpos, endpos)`` over the Chinese ``text`` of ``source``.
+
+    The cheapest path of every distinct run is found from its end, one character a step, with the costs
+    of the places behind it in a list; 64 times the cost less the length puts the longer word first.
+    """
+    return rf"""
+dictionary as materialized (
+  select word, round(ln((sum(freq) over ()) / freq) * 1000000)::bigint as cost from (
+    select word, count(*) as freq from (
+      select unnest(regexp_extract_all(translate(text, '{q.LETTERS}', '{q.CHINESE}'), '[{_CJK}]+')) as word
+      from benchmark) group by word)),
+total as (
+  select round(ln(sum(n)::double) * 1000000)::bigint as unlisted, max(length(word)) as longest from (
+    select word, count(*) as n from (
+      select unnest(regexp_extract_all(translate(text, '{q.LETTERS}', '{q.CHINESE}'), '[{_CJK}]+')) as word
+      from benchmark) group by word)),
+run_pieces as materialized (
+  select {ids}, p, i, sum(length(p)) over (partition by {ids} order by i) - length(p) as place from (
+    select {ids}, unnest(l) as p, generate_subscripts(l, 1) as i from (
+      select {ids}, regexp_extract_all({text}, '[{_CJK}]+|(?:[^\P{{L}}{_CJK}]|\p{{N}})+|(?s:.)') as l from {source}))),
+runs as materialized (select distinct p as run from run_pieces where regexp_matches(p, '^[{_CJK}]')),
+starts as (select run, unnest(range(1, length(run) + 1)) as s from runs),
+parts as (
+  select run, s, unnest(range(1, least((select longest from total), length(run) - s + 1) + 1)) as l from starts),
+edges as materialized (
+  select run, s, list({{'l': l, 'cost': coalesce(cost, (select unlisted from total))}}) as e
+  from parts left join dictionary on word = substr(run, s, l) where l = 1 or cost is not null group by run, s),
+best as (
+  select run, length(run) + 1 as s, [0::bigint] as costs, []::bigint[] as picks from runs
+  union all
+  select run, s, list_prepend((v + 63) // 64, costs), list_prepend((v + 63) // 64 * 64 - v, picks) from (
+    select b.run, e.s, costs, picks,
+      list_min(list_transform(e.e, lambda x: (x.cost + costs[x.l]) * 64 - x.l))::bigint as v
+    from best b join edges e on e.run = b.run and e.s = b.s - 1)),
+path as (
+  select run, 1::bigint as s, picks[1] as l, picks from best where s = 1
+  union all
+  select run, s + l, picks[s + l], picks from path where s + l <= length(run)),
+named as (
+  select run, s, l, l > 1 or substr(run, s, 1) in (select word from dictionary) as listed from path),
+spans_of_runs as materialized (
+  select run, s - 1 as a, case when listed or not coalesce(not after, false) then s - 1 + l else s + l end as z
+  from (select *, lead(listed) over w as after, lag(listed) over w as before from named
+        window w as (partition by run order by s))
+  where listed or not coalesce(after, true) or coalesce(before, true)),
+segmented as materialized (
+  select {ids}, substr(p, a + 1, z - a) as term, (place + a)::bigint as startpos, (place + z)::bigint as endpos
+  from run_pieces join spans_of_runs on run = p
+  union all
+  select {ids}, p, place::bigint, (place + length(p))::bigint from run_pieces
+  where not regexp_matches(p, '^[{_CJK}]'))"""
+
+
+_add("segmented_tokens", f"""with recursive chinese as materialized (
+  select doc_id, {_chinese('text')} as text from documents), {_segmented('chinese', 'doc_id', 'text')}
+select doc_id, (row_number() over (partition by doc_id order by startpos, endpos) - 1)::int as pos, term, startpos, endpos
+from segmented""")
+_add("segmented_index", f"""with recursive {CELLS},
+chinese as materialized (
+  select "row" as url, qualifier, {_chinese('value')} as text from cells),
+{_segmented('chinese', 'url, qualifier', 'text')},
+{_terms('field_terms', 'segmented', 'url, qualifier')},
+field_idf as (
+  select term, ln((select count(*) from chinese) / count(*)::double) as idf from field_terms group by term),
+weighed as (
+  select url, qualifier, term, round(freq * idf / total, 6) as weight from field_terms join field_idf using (term)),
+best_terms as (
+  select url, term from weighed
+  qualify row_number() over (partition by url, qualifier order by weight desc, term) <= 10),
+whole as (
+  select term, url from best_terms where length(term) between 2 and 4
+  union all
+  select term, url from segmented where qualifier = 'title' and length(term) > 4)
+{_lists('whole')}""")
 _add("analyzer", f"""with {_ANALYZED}, {_stems('analyzed')}
 select doc_id, stem as term, startpos, endpos from analyzed join stems using (term)""")
 _add("stemmed_terms", f"""with {_ANALYZED}, {_stems('analyzed')}
@@ -380,11 +463,11 @@ _add("tfidf_weights", f"""with {DOC_IDF}
 select doc_id, term, round(freq * idf / total, 6) as weight from terms join learned using (term)""")
 _add("tfidf_default", f"""with {DOC_TERMS},
 known as (select * from terms where doc_id in (select doc_id from labels)),
-learned as (
+learned as materialized (
   select term, ln((select count(*) from documents where doc_id in (select doc_id from labels))
     / count(*)::double) as idf from known group by term)
-select doc_id, term, round(freq * coalesce(idf, {_median('learned')}) / total, 6) as weight
-from terms left join learned using (term)""")
+select doc_id, term, round(freq * coalesce(idf, m) / total, 6) as weight
+from terms left join learned using (term), (select {_median('learned')} as m)""")
 _add("tfidf_topk", f"""with {DOC_IDF},
 weighed as (
   select doc_id, term, round(freq * idf / total, 6) as weight from terms join learned using (term))

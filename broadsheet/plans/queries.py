@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import charset, dates, fixed_values, html
 from ..functions.porter import stem
-from ..functions.text import unescape
-from ..operators import analyzer, extract, graph, index, keywords, lookup, store
+from ..functions.text import CJK, unescape
+from ..operators import analyzer, extract, graph, index, keywords, lookup, segment, store
 from ..sources import articles, files
 from ..session import materialise, scratch_path, spread, written
 
@@ -77,6 +77,23 @@ def _texts(spark: SparkSession, folder: str) -> DataFrame:
     return index.field_texts(_cells(spark, folder), "title", "content")
 
 
+# Chinese text for the segmentation: each Latin letter becomes a Chinese character, and of each two
+# words so written the space between them goes.
+LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+CHINESE = "".join(chr(0x4E00 + 97 * k) for k in range(26)) * 2
+
+
+def _chinese(text: Column | str) -> Column:
+    return F.regexp_replace(F.translate(text, LETTERS, CHINESE), f"({CJK}+) ({CJK}+)", "$1$2")
+
+
+def _dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of the benchmark items, so written, with their counts."""
+    items = _table(spark, folder, "benchmark")
+    words = F.regexp_extract_all(F.translate("text", LETTERS, CHINESE), F.lit(f"{CJK}+"), F.lit(0))
+    return items.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
+
+
 def _timed(spark: SparkSession, folder: str) -> DataFrame:
     """Pages with a time: that of the event of the same number."""
     seen = _table(spark, folder, "events").select(F.col("event_id").alias("page_id"), "ts")
@@ -458,6 +475,24 @@ def tokens_offsets(spark, folder):
     return analyzer.tokens_with_offsets(_documents(spark, folder), ["doc_id"])
 
 
+@query
+def segmented_tokens(spark, folder):
+    """Tokens with offsets of all documents, written in Chinese, by a dictionary."""
+    docs = _documents(spark, folder).select("doc_id", _chinese("text").alias("text"))
+    found = segment.with_tokens(docs, ["doc_id"], _dictionary(spark, folder))
+    return found.select("doc_id", F.posexplode("tokens").alias("pos", "token")).select(
+        "doc_id", "pos", "token.*")
+
+
+@query
+def segmented_index(spark, folder):
+    """The index of articles written in Chinese, from ready tokens."""
+    found = _stored_articles(spark, folder).select("url", _chinese("title").alias("title"), _chinese("content").alias("content"))
+    found = segment.with_tokens(
+        found, ["url"], _dictionary(spark, folder), {"title": "title", "content": "content"})
+    return store.pipe_joined(index.full_index(written(found, "segmented")))
+
+
 def _analyzer(spark, folder):
     return analyzer.analyze(_documents(spark, folder), ["doc_id"])
 
