@@ -23,6 +23,9 @@ ANALYZER_STOP_WORDS = (
 # Parts of speech that graph ranking keeps by default.
 RANK_POS = ("ns", "n", "vn", "v")
 
+# Tokens that end a sentence.
+SENTENCE_ENDS = (".", "!", "?", "\n", "。", "！", "？")
+
 # First and last character of the range treated as Chinese.
 CJK_FIRST = "一"
 CJK_LAST = "鿕"

@@ -1,13 +1,17 @@
-"""Porter stemming (M. F. Porter, 1980) as a column expression.
+"""Porter stemming (M. F. Porter, 1980), as a column expression and as a function of one word.
 
-The steps are bound one after the other inside the row, which needs no lookup table, no vocabulary
-pass and no shuffle. Stems are measured only for words whose suffix matched.
+In the expression the steps are bound one after the other inside the row, which needs no lookup table,
+no vocabulary pass and no shuffle. Stems are measured only for words whose suffix matched. The function
+``stem_word`` is for vocabularies, where each word is stemmed once.
 """
 
 from __future__ import annotations
 
+import re
+import sys
 from collections.abc import Callable, Iterable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -153,3 +157,57 @@ def stem(word: Column) -> Column:
     unmark = lambda w: _with_first(w, "Y", "y")
     stemmed = _apply(marked, (_inflected, _derived, unmark))
     return F.when(F.length(word) < 3, word).otherwise(stemmed)
+
+
+# The same steps for one word.
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+_vowel, _over_0, _is_1, _over_1, _short = (
+    re.compile(p).search for p in (HAS_VOWEL, MEASURE_OVER_0, MEASURE_IS_1, MEASURE_OVER_1, SHORT_SYLLABLE))
+
+
+def _ending(word: str, suffixes: Iterable[str]) -> str | None:
+    return next((s for s in longest_first(suffixes) if word.endswith(s)), None)
+
+
+def _word_inflected(w: str) -> str:
+    if w.endswith("sses") or (w.endswith("ies") and len(w) > 3):
+        w = w[:-2]
+    elif w.endswith("s") and not w.endswith("ss") and len(w) > 2:
+        w = w[:-1]
+    if w.endswith("eed"):
+        w = w[:-1] if _over_0(w[:-3]) else w
+    elif (suffix := _ending(w, ("ed", "ing"))) and _vowel(rest := w[: -len(suffix)]):
+        w = rest
+        if w.endswith(("at", "bl", "iz")):
+            w += "e"
+        elif len(w) > 1 and w[-1] == w[-2] and w[-1] not in "aeiouylsz":
+            w = w[:-1]
+        elif _short(w):
+            w += "e"
+    return w[:-1] + "i" if w.endswith("y") and _vowel(w[:-1]) else w
+
+
+def _word_derived(w: str) -> str:
+    for rules in (dict(PORTER_STEP_2), dict(PORTER_STEP_3)):
+        suffix = _ending(w, rules)
+        if suffix and _over_0(w[: -len(suffix)]):
+            w = w[: -len(suffix)] + rules[suffix]
+    suffix = _ending(w, PORTER_STEP_4)
+    if suffix:
+        rest = w[: -len(suffix)]
+        if _over_1(rest) and (suffix != "ion" or rest.endswith(("s", "t"))):
+            w = rest
+    if w.endswith("e") and (_over_1(w[:-1]) or (_is_1(w[:-1]) and not _short(w[:-1]))):
+        w = w[:-1]
+    return w[:-1] if w.endswith("ll") and _over_1(w) else w
+
+
+def stem_word(word: str) -> str:
+    """Stem of a lower-case word, as ``stem`` gives it."""
+    if len(word) < 3:
+        return word
+    w = "Y" + word[1:] if word[0] == "y" else word
+    w = _word_derived(_word_inflected(w))
+    return "y" + w[1:] if w.startswith("Y") else w

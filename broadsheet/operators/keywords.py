@@ -66,10 +66,11 @@ def drop_stop_terms(
     listed = stop_words.select(F.col("term").alias("__stop")).distinct()
     listed = broadcast_within(listed, max_rows, BROADCAST_BYTES, "__stop") or listed
     kept = terms.join(listed, F.lower("term") == F.col("__stop"), "left_anti")
-    return _retotal(kept, ids)
+    return retotal(kept, ids)
 
 
-def _retotal(terms: DataFrame, ids: Sequence[str]) -> DataFrame:
+def retotal(terms: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """The frequencies with their ``total`` counted again."""
     return terms.withColumn("total", F.sum("freq").over(Window.partitionBy(*ids)))
 
 
@@ -83,7 +84,7 @@ def flag_terms(
     allow_pos = tuple(allow_pos)
     if not allow_pos:
         return terms
-    return _retotal(terms.join(allowed_terms(lexicon, allow_pos), "term"), ids)
+    return retotal(terms.join(allowed_terms(lexicon, allow_pos), "term"), ids)
 
 
 def allowed_terms(lexicon: DataFrame, allow_pos: Iterable[str]) -> DataFrame:

@@ -453,6 +453,56 @@ _add("pos_filter", f"""with {DOC_TERMS}, {LEXICON}
 select doc_id, pos, term, flag from tokens join lexicon using (term)
 where flag in ({_quoted(q.LEXICON_POS)})""")
 
+_TAGGED = rf"""
+sentences as materialized (
+  select *, sum(case when term in ({_quoted(w for w in fixed.SENTENCE_ENDS if w != chr(10))}, chr(10)) then 1 else 0 end)
+    over (partition by doc_id order by pos) as sent from tokens),
+words as materialized (
+  select doc_id, sent, pos, term, row_number() over (partition by doc_id, sent order by pos) as i,
+    lag(term) over (partition by doc_id order by pos) as before
+  from sentences where regexp_matches(term, '^[\p{{L}}\p{{N}}]')),
+flagged as materialized (
+  select *, case when length(before) <= 2 then 'n' when length(term) <= 3 then 'x'
+      when right(term, 1) in ('s', 'n') then 'n' when right(term, 1) = 'e' then 'v' else 'a' end as flag from words),
+emitted as materialized (
+  select term, flag, round(ln((sum(n) over (partition by flag)) / n) * 1000000)::bigint as c
+  from (select term, flag, count(*) as n from flagged group by term, flag)),
+followed as (
+  select coalesce(lag(flag) over (partition by doc_id order by pos), '') as prev, flag from flagged),
+moves as materialized (
+  select prev, flag, round(ln((sum(n) over (partition by prev)) / n) * 1000000)::bigint as c
+  from (select prev, flag, count(*) as n from followed group by prev, flag)),
+tables as materialized (select map(list(prev || '>' || flag), list(c)) as m, max(c) + 1000000 as unlisted from moves),
+options as materialized (select term, list({{'f': flag, 'c': c}}) as o from emitted group by term),
+chains as materialized (
+  select doc_id, sent, list(o order by i) as os, max(i) as n from words join options using (term) group by doc_id, sent),
+reached as (
+  select doc_id, sent, os, n, 0::bigint as i, [{{'c': 0::bigint, 'f': ''}}] as st,
+    []::struct(f varchar, p varchar)[][] as came, m, unlisted
+  from chains, tables
+  union all
+  select doc_id, sent, os, n, i + 1, list_transform(new, lambda x: {{'c': x.b.c + x.c, 'f': x.f}}),
+    list_append(came, list_transform(new, lambda x: {{'f': x.f, 'p': x.b.f}})), m, unlisted
+  from (
+    select *, list_transform(os[i + 1], lambda x: {{'f': x.f, 'c': x.c, 'b': list_min(list_transform(st, lambda s:
+      {{'c': s.c + coalesce(m[s.f || '>' || x.f], unlisted), 'f': s.f}}))}}) as new
+    from reached where i < n)),
+traced as (
+  select doc_id, sent, n as i, list_min(st).f as flag, came from reached where i = n
+  union all
+  select doc_id, sent, i - 1, list_filter(came[i], lambda x: x.f = flag)[1].p, came from traced where i > 1),
+tagged as materialized (
+  select w.doc_id, w.pos, w.term, t.flag from words w join traced t using (doc_id, sent, i))"""
+_add("pos_tags", f"with recursive {DOC_TOKENS}, {_TAGGED} select doc_id, pos, term, flag from tagged")
+_add("pos_tags_topk", f"""with recursive {DOC_IDF}, {_TAGGED},
+counted as (
+  select doc_id, term, flag, count(*) as freq, sum(count(*)) over (partition by doc_id)::bigint as total
+  from tagged where {IS_KEYWORD} and flag in ({_quoted(q.LEXICON_POS)}) group by doc_id, term, flag),
+weighed as (
+  select doc_id, term, flag, round(freq * idf / total, 6) as weight from counted join learned using (term))
+select *, row_number() over (partition by doc_id order by weight desc, term, flag)::int as rank
+from weighed qualify rank <= 20""")
+
 # Counts, IDF and TF-IDF
 
 _add("word_count", f"with {DOC_TERMS} select term, sum(freq)::bigint as n from terms group by term")
@@ -526,3 +576,31 @@ _add("cooccurrence", f"with {_PAIRS} select doc_id, src, dst, w from pairs")
 _add("term_graph", f"with {_PAIRS} select doc_id, src, dst, w from edges")
 _add("node_strength", f"""with {_PAIRS}
 select doc_id, src, sum(w)::bigint as strength from edges group by doc_id, src""")
+_RANKS = f"""{_PAIRS},
+strength as materialized (select doc_id, src, sum(w)::double as total from edges group by doc_id, src),
+nodes as materialized (
+  select doc_id, src as term, total, row_number() over (partition by doc_id order by src) as i,
+    count(*) over (partition by doc_id) as n from strength),
+flows as (
+  select a.doc_id, a.i, a.n, list(b.i order by b.term) as ids, list(w / b.total order by b.term) as sh
+  from edges e join nodes a on e.doc_id = a.doc_id and e.src = a.term
+    join nodes b on e.doc_id = b.doc_id and e.dst = b.term
+  group by a.doc_id, a.i, a.n),
+graphs as materialized (
+  select doc_id, n, list(ids order by i) as ids, list(sh order by i) as sh from flows group by doc_id, n),
+settled as materialized (
+  select doc_id, list_reduce(
+    list_prepend({{'k': -1::bigint, 'st': list_transform(range(n), lambda x: 1.0::double / n)}},
+      list_transform(range({fixed.RANK_ROUNDS} * n), lambda k: {{'k': k, 'st': []::double[]}})),
+    lambda a, b: {{'k': b.k, 'st': a.st[:b.k % n]
+      || [{1 - fixed.RANK_DAMPING}::double + {fixed.RANK_DAMPING}::double * list_sum(list_transform(
+           list_zip(ids[b.k % n + 1], sh[b.k % n + 1]), lambda z: z[2] * a.st[z[1]]))]
+      || a.st[b.k % n + 2:]}}).st as ranks from graphs),
+ranked as materialized (
+  select nodes.doc_id, term, round((ranks[i] - list_min(ranks) / 10.0) / (list_max(ranks) - list_min(ranks) / 10.0), 6)
+    as weight
+  from nodes join settled using (doc_id))"""
+_add("textrank", f"with {_RANKS} select doc_id, term, weight from ranked")
+_add("textrank_topk", f"""with {_RANKS}
+select *, row_number() over (partition by doc_id order by weight desc, term)::int as rank
+from ranked qualify rank <= 20""")

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import charset, dates, fixed_values, html
 from ..functions.porter import stem
-from ..functions.text import CJK, unescape
-from ..operators import analyzer, extract, graph, index, keywords, lookup, segment, store
+from ..functions.text import CJK, WORD, bind, unescape
+from ..operators import analyzer, extract, graph, index, keywords, lookup, segment, store, tagging
 from ..sources import articles, files
 from ..session import materialise, scratch_path, spread, written
 
@@ -519,6 +519,40 @@ def pos_filter(spark, folder):
     return keywords.pos_filter(rows, _lexicon(spark, folder), LEXICON_POS, empty_keeps_all=True)
 
 
+def _flagged(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document with a flag each, by their ending and the word before: a term has several."""
+
+    def flag(words: Column) -> Column:
+        def of(word: Column, i: Column) -> Column:
+            before = F.get(words, F.greatest(i - 1, F.lit(0)))
+            named = F.when((i > 0) & (F.length(before) <= 2), "n").when(F.length(word) <= 3, "x").when(
+                word.endswith("s") | word.endswith("n"), "n").when(word.endswith("e"), "v").otherwise("a")
+            return F.struct(word.alias("term"), named.alias("flag"))
+
+        return F.transform(words, of)
+
+    words = F.regexp_extract_all("text", F.lit(f"{WORD}+"), F.lit(0))
+    return _documents(spark, folder).select("doc_id", bind(words, flag).alias("words"))
+
+
+def _pos_tags(spark: SparkSession, folder: str) -> DataFrame:
+    lexicon, transitions = tagging.learn_tags(_flagged(spark, folder))
+    return tagging.tag_tokens(_documents(spark, folder), ["doc_id"], lexicon, transitions)
+
+
+@query
+def pos_tags(spark, folder):
+    """The words of all documents with their flags in context."""
+    return _pos_tags(spark, folder)
+
+
+@query
+def pos_tags_topk(spark, folder):
+    """The best nouns and verbs of all documents, by their flags in context."""
+    return tagging.tagged_keywords(
+        _documents(spark, folder), ["doc_id"], _pos_tags(spark, folder), LEXICON_POS, with_flag=True)
+
+
 # Counts, IDF and TF-IDF
 
 
