@@ -11,11 +11,15 @@ on the capacity, not on the data: a step either ends a length or empties a capac
 Pieces are numbered within their length by counts of salted parts, so no length is gathered in one
 task, though most pieces of long texts have the same one.
 
+A tokenizer file whose splitting is the known one is used form by form: texts are cut here, and only forms
+not seen before go to its model. With any other file every text goes to the tokenizer whole.
+
 Edge cases: a null or empty text is its closing id alone; repeated rows are packed each.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -30,16 +34,59 @@ from ..session import written
 
 CAPACITY, CLOSING_ID = 2048, 0
 #: Word forms that a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
+
+#: The splitting of texts that is done here; a tokenizer that splits otherwise gets every text whole.
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+          "behavior": "Removed", "invert": True}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
 
-#: Texts of these characters only are cut into word forms here, as the tokenizer's own pattern does;
-#: others go to the tokenizer whole.
+#: Texts of these characters only are cut into word forms here, as that splitting does; others go to the
+#: tokenizer whole.
 _PLAIN = re.compile("[\t\n\r -~¡-įı-ɏ‐-‧]*")
 _FORMS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ɏ]+"
                     "|[0-9²³¹¼-¾]"
                     "|[^\\sa-z0-9ª²³µ¹º¼-¾ß-öø-ɏ]+")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary, by rule: printable ones for themselves."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
+def splits_as_here(described: dict) -> bool:
+    """Whether a tokenizer, as its file describes it, cuts texts into forms that its model encodes one by one."""
+    normalizer, pre, model = (described.get(k) or {} for k in ("normalizer", "pre_tokenizer", "model"))
+    steps = pre.get("pretokenizers", [])
+    return (
+        normalizer.get("normalizers") == _NORMALIZER and len(steps) == 2 and steps[0] == _SPLIT
+        and all(steps[1].get(k) == v for k, v in _BYTES.items()) and model.get("type") == "BPE"
+        and not model.get("dropout") and not model.get("unk_token") and not described.get("post_processor")
+        and all(t["content"].startswith("<|") for t in described.get("added_tokens", [])))
+
+
+class _Forms(dict):
+    """Ids of word forms as bytes, remembered up to a bound; a new form is encoded by the model alone."""
+
+    def __init__(self, model, remembered: int) -> None:
+        self.model, self.remembered = model, remembered
+
+    def __missing__(self, form: str) -> bytes:
+        written = form if form.isascii() else form.encode().decode("latin-1").translate(_LETTERS)
+        tokens = self.model.tokenize(written)
+        ids = b"".join([t.id.to_bytes(4, "little") for t in tokens])
+        if len(self) >= self.remembered:
+            self.clear()
+        self[form] = ids
+        return ids
+
+
 class Encoder:
     """Ids of a text as little-endian unsigned numbers of four bytes, the closing id included."""
 
@@ -47,26 +94,17 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.remembered = remembered
-        self.forms: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            self.quick = splits_as_here(json.load(file))
+        self.forms = _Forms(self.tokenizer.model, remembered)
         self.closing = np.array([CLOSING_ID], "<u4").tobytes()
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
     def encode(self, text: str | None) -> bytes:
         text = text or ""
-        if "<|" in text or not _PLAIN.fullmatch(text):
-            return self._ids([text])[0] + self.closing
+        if not self.quick or "<|" in text or not _PLAIN.fullmatch(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + self.closing
         forms = _FORMS.findall(unicodedata.normalize("NFC", text).lower())
-        known = self.forms
-        if new := list({f for f in forms if f not in known}):
-            if len(known) + len(new) > self.remembered:
-                known.clear()
-                new = list(set(forms))
-            known.update(zip(new, self._ids(new)))
-        return b"".join([*map(known.__getitem__, forms), self.closing])
+        return b"".join([*map(self.forms.__getitem__, forms), self.closing])
 
 
 def tokenize(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from collections import Counter
@@ -11,8 +12,11 @@ from broadsheet.llm.queries import QUERIES, tokenizer_path
 PATH = tokenizer_path()
 
 
+WHOLE = Tokenizer.from_file(PATH)
+
+
 def slow_ids(text):
-    found = Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids
+    found = WHOLE.encode(text or "", add_special_tokens=False).ids
     return [*found, 0]
 
 
@@ -25,6 +29,29 @@ def test_ids_equal_the_tokenizer():
         assert np.frombuffer(encoder.encode(t), "<u4").tolist() == slow_ids(t), t
 
 
+def test_another_tokenizer_gets_whole_texts(tmp_path):
+    """A file that splits otherwise must not be used form by form."""
+    described = json.loads(open(PATH, encoding="utf-8").read())
+    assert packing.splits_as_here(described)
+    described["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [
+        {"type": "Digits", "individual_digits": False}, described["pre_tokenizer"]["pretokenizers"][1]]}
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(described), encoding="utf-8")
+    encoder, tokenizer = packing.Encoder(str(other)), Tokenizer.from_file(str(other))
+    assert not encoder.quick
+    for text in ("It's 12 o'clock", "été 2024", ""):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+    for change in ({"normalizer": None}, {"post_processor": {"type": "ByteLevel"}}):
+        assert not packing.splits_as_here(json.loads(open(PATH, encoding="utf-8").read()) | change)
+
+
+def test_forms_are_bounded():
+    encoder = packing.Encoder(PATH, remembered=10)
+    for k in range(100):
+        encoder.encode(f"word{k} and ‘é{k}’")
+        assert len(encoder.forms) <= 10
+
+
 def slow_packing(lengths, capacity):
     """Best fit decreasing piece by piece: how full the sequences are.
 
