@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions.dates import days_between
+from ..session import written
 from ..functions.html import (
     absolute_url,
     all_pages_url,
@@ -172,3 +173,68 @@ def articles_from_links(links: DataFrame, pages: DataFrame) -> DataFrame:
         .filter(F.col("time").isNotNull() & F.col("content").isNotNull())
     )
 
+
+def roll_entries(roll_pages: DataFrame) -> DataFrame:
+    """Every entry of roll pages ``(site, day, html)`` with the ``reason`` why it is no link, or null.
+
+    ``(site, day, pos, title, url, time, reason)``: what ``roll_links`` skips is here with its reason.
+    """
+    pages = roll_pages.filter(
+        ~((F.col("site") == "IFENG") & F.col("html").rlike(fixed.EMPTY_ROLL_PAGE_PATTERN))
+    )
+    found = pages.select(
+        "site", "day", F.posexplode(site_links(F.col("site"), F.col("html"))).alias("pos", "match")
+    )
+    link = link_properties(F.col("site"), F.col("match"), F.col("day"))
+    parsed = found.select("site", "day", "pos", link.alias("link")).select(
+        "site", "day", "pos", "link.title", "link.url", "link.time"
+    )
+    url = F.when(
+        F.col("site") == "ZXW", absolute_url(F.col("url"), F.lit(fixed.LINK_BASE["ZXW"]))
+    ).otherwise(F.col("url"))
+    other_day = F.substring_index("time", " ", 1) != F.date_format("day", "yyyy-MM-dd")
+    return parsed.withColumn("url", url).withColumn(
+        "reason",
+        F.when(F.col("url").isNull() | (F.col("url") == ""), "no address")
+        .when(F.col("time").isNull(), "no time")
+        .when((F.col("site") == "163") & other_day, "other day")
+        .when((F.col("site") == "IFENG") & (F.substring("url", 23, 5) == "photo"), "photo news"),
+    )
+
+
+def ingest(roll_pages: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Articles and rejects of roll pages, from one pass: each entry is in exactly one of them.
+
+    Articles are ``(site, day, pos, url, title, time, content)``; rejects have the entry and its
+    ``reason``. ``pages(url, html)`` holds the fetched pages. Entries are written once, and so is
+    what became of them; entries that are no links don't take part in the joins.
+    """
+    entries = written(roll_entries(roll_pages), "entries")
+    fetched = entries.filter(F.col("reason").isNull()).drop("reason").join(
+        pages.select("url", "html"), "url", "left"
+    )
+    final = F.when(F.col("site") == "163", all_pages_url(F.col("url"), F.col("html"))).otherwise(F.col("url"))
+    fetched = fetched.withColumn("final_url", F.coalesce(final, F.col("url")))
+    same = fetched.filter(F.col("final_url") == F.col("url")).drop("final_url")
+    whole = (
+        fetched.filter(F.col("final_url") != F.col("url"))
+        .drop("url", "html")
+        .withColumnRenamed("final_url", "url")
+        .join(pages.select("url", "html"), "url", "left")
+    )
+    time = F.when(
+        F.col("site") == "RMW", F.concat("time", F.lit(" "), article_clock("html"))
+    ).otherwise(F.col("time"))
+    read = same.unionByName(whole).select(
+        "site", "day", "pos", "url", "title", time.alias("time"),
+        site_body(F.col("site"), F.col("html")).alias("content"),
+        F.when(F.col("html").isNull(), "no page").alias("missing"),
+    )
+    reason = F.coalesce("missing", F.when(F.col("time").isNull(), "no time"),
+                        F.when(F.col("content").isNull(), "no body"))
+    outcomes = written(read.withColumn("reason", reason).drop("missing"), "ingested")
+    names = ["site", "day", "pos", "url", "title", "time", "reason"]
+    rejects = entries.filter(F.col("reason").isNotNull()).select(*names).unionByName(
+        outcomes.filter(F.col("reason").isNotNull()).select(*names)
+    )
+    return outcomes.filter(F.col("reason").isNull()).drop("reason"), rejects

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_within
+from ..session import broadcast_within, written
 
 # Keywords, and the urls they hit, are broadcast within both bounds and joined by shuffle beyond.
 BROADCAST_ROWS = 500_000
@@ -36,18 +36,18 @@ def lookup_prefix(index: DataFrame, prefix: str) -> DataFrame:
 
 
 def search(index: DataFrame, articles: DataFrame, keywords: DataFrame) -> DataFrame:
-    """Articles of every keyword: ``(keyword, url, title, content)``.
+    """Articles of every keyword: ``(keyword, url, title, content[, time])``.
 
-    A posting without an article gives empty fields. List order is url order, so sorting by
-    ``(keyword, url)`` restores it. Urls hit within the bound are counted when this is called and
+    ``time`` is there if the articles have it. A posting without an article gives empty fields. List order is url order, so sorting by
+    ``(keyword, url)`` restores it. The hits are written once. Urls hit within the bound are counted when this is called and
     broadcast, so only the articles that are hit reach the join.
     """
-    hits = lookup_terms(index, keywords).select("keyword", F.explode("urls").alias("url"))
-    found = articles.select("url", "title", "content")
+    hits = written(
+        lookup_terms(index, keywords).select("keyword", F.explode("urls").alias("url")), "hits")
+    fields = ["title", "content", *(c for c in ("time",) if c in articles.columns)]
+    found = articles.select("url", *fields)
     urls = hits.select("url").distinct()
     few = broadcast_within(urls, BROADCAST_ROWS, BROADCAST_BYTES, "url")
     if few is not None:
         found = found.join(few, "url", "left_semi")
-    return hits.join(found, "url", "left").select(
-        "keyword", "url", "title", "content"
-    )
+    return hits.join(found, "url", "left").select("keyword", "url", *fields)

@@ -250,6 +250,24 @@ _add("link_props", f"with {_ENTRIES} "
 _add("link_filters", f"""with {_ENTRIES}
 select site, strftime(day, '%Y-%m-%d') as day, count(*) as n from found
 where site in ('163', 'IFENG') group by site, day""")
+_OUTCOMES = rf"""{ARTICLES}, {_ENTRIES.strip()},
+clocks as (select page_id, regexp_extract(html, '([0-9]{{2}}:[0-9]{{2}})<', 1) as clock from pages),
+outcomes as materialized (
+  select 'ZXW' as site, ts::date as day, 'http://www.chinanews.com' || path as url, title, null as time,
+         'no page' as reason, page_id from entries
+  union all select 'SINA', ts::date, url, title, full_time, null, page_id from entries
+  union all select 'RMW', ts::date, url, title, strftime(ts, '%Y-%m-%d') || ' ' || clock || ':00',
+         case when clock = '' then 'no time' end, page_id from entries join clocks using (page_id)
+  union all select '163', (ts + interval 12 hour)::date, url, title, full_time,
+         case when hour(ts) >= 12 then 'other day' end, page_id from entries
+  union all select 'IFENG', ts::date, 'http://news.ifeng.com/' || case when contains(url, '/en/') then 'photo' else 'a' end
+         || '/' || page_id, title, null, case when contains(url, '/en/') then 'photo news' else 'no page' end, page_id
+         from entries)"""
+_add("ingest", f"""with {_OUTCOMES}
+select site, strftime(day, '%Y-%m-%d') as day, o.url, o.title, time, content
+from outcomes o join articles using (page_id) where reason is null""")
+_add("ingest_rejects", f"""with {_OUTCOMES}
+select site, strftime(day, '%Y-%m-%d') as day, url, title, reason from outcomes where reason is not null""")
 _add("article_body", f"with {ARTICLES} select page_id, title, content as body from articles")
 _add("site_bodies", f"""with {ARTICLES}
 select page_id, site, content as body
@@ -560,6 +578,11 @@ _add("search", f"""with {SEARCHED}
 select distinct keyword, url, title, content
 from searched join whole on term = keyword left join articles using (url)""")
 
+_add("search_timed", f"""with {SEARCHED.replace(ARTICLES, ARTICLES + f", {TIMED.strip()}", 1)}
+select distinct keyword, url, title, content, strftime(ts, '%Y-%m-%d %H:%M:%S') as time
+from searched join whole on term = keyword left join articles using (url)
+  left join (select url, ts from timed) using (url)""")
+
 # Term graph
 
 _PAIRS = f"""{DOC_TOKENS},

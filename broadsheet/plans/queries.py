@@ -362,6 +362,26 @@ def link_filters(spark, folder):
     )
 
 
+def _ingested(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The roll entries of all pages and sites, fetched from the pages in the layout of three sites."""
+    sites = [fixed_values.BODY_CONTAINER[s] for s in ("163", "RMW", "SINA")]
+    opened = "".join(f'<div {attribute}="{value}">' for attribute, value in sites)
+    page = F.replace(F.replace("html", F.lit("<article>"), F.lit(opened)), F.lit("</article>"), F.lit("</div>" * 3))
+    return extract.ingest(_roll_pages(spark, folder), _pages(spark, folder).select("url", page.alias("html")))
+
+
+@query
+def ingest(spark, folder):
+    found, _ = _ingested(spark, folder)
+    return found.select("site", F.date_format("day", "yyyy-MM-dd").alias("day"), "url", "title", "time", "content")
+
+
+@query
+def ingest_rejects(spark, folder):
+    _, rejects = _ingested(spark, folder)
+    return rejects.select("site", F.date_format("day", "yyyy-MM-dd").alias("day"), "url", "title", "reason")
+
+
 @query
 def article_body(spark, folder):
     return _pages(spark, folder).select(
@@ -706,6 +726,14 @@ def search(spark, folder):
     return lookup.search(stored, found, _searched(stored))
 
 
+@query
+def search_timed(spark, folder):
+    """Search over articles with a time."""
+    found = written(_timed_articles(spark, folder), "articles")
+    stored = _stored_index(spark, found)
+    return lookup.search(stored, found, _searched(stored))
+
+
 # Term graph
 
 

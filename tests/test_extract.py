@@ -103,6 +103,35 @@ def test_articles_from_links(spark):
     }
 
 
+def test_every_entry_is_an_article_or_a_reject(spark):
+    entry = '{{"t":"{}","l":"{}","p":"{}"}}'
+    listed = [("one", "http://n.cn/1.html", "2015-11-02 08:00:00"), ("paged", "http://n.cn/2.html", "2015-11-02 09:00:00"),
+              ("old", "http://n.cn/3.html", "2015-11-01 09:00:00"), ("gone", "http://n.cn/4.html", "2015-11-02 09:30:00"),
+              ("half", "http://n.cn/5.html", "2015-11-02 10:00:00"), ("bare", "", "2015-11-02 10:30:00")]
+    rolls = spark.createDataFrame([
+        ("163", DAY, "".join(entry.format(*e) for e in listed)),
+        ("RMW", DAY, "<a href='http://p.cn/1' target=_blank>clock</a>[11月02日&nbsp;09:15]<br>"
+                     "<a href='http://p.cn/2' target=_blank>none</a>[11月02日&nbsp;09:15]<br>"),
+        ("IFENG", DAY, '<h4>11/02 10:00</h4><a href="http://news.ifeng.com/photo/1" target="_blank">p</a>'),
+        ("ZXW", DAY, None), ("SINA", DAY, ""),
+    ], "site string, day date, html string")
+    body = '<div id="endText"><p>text</p></div>'
+    pages = spark.createDataFrame([
+        ("http://n.cn/1.html", body), ("http://n.cn/2.html", '<a href="x_all.html#p1">'),
+        ("http://n.cn/2_all.html#p1", body), ("http://n.cn/3.html", body), ("http://n.cn/5.html", "_all.html#p1"),
+        ("http://p.cn/1", '<b>09:15</b><div id="p_content"><p>body</p></div>'), ("http://p.cn/2", "<p>x</p>"),
+    ], "url string, html string")
+    articles, rejects = extract.ingest(rolls, pages)
+    assert {(r.url, r.time, r.content) for r in articles.collect()} == {
+        ("http://n.cn/1.html", "2015-11-02 08:00:00", "text"), ("http://n.cn/2_all.html#p1", "2015-11-02 09:00:00", "text"),
+        ("http://p.cn/1", "2015-11-02 09:15:00", "body")}
+    assert {(r.title, r.reason) for r in rejects.collect()} == {
+        ("old", "other day"), ("gone", "no page"), ("half", "no page"), ("bare", "no address"), ("none", "no time"),
+        ("p", "photo news")}
+    assert articles.count() + rejects.count() == extract.roll_entries(rolls).count() == 9
+    assert [x.count() for x in extract.ingest(rolls.limit(0), pages)] == [0, 0]
+
+
 @pytest.mark.parametrize("args, expected", [
     (("today",), ("2015-11-02", "2015-11-03")),
     (("last30",), ("2015-10-04", "2015-11-03")),
