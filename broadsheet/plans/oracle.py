@@ -578,6 +578,9 @@ _add("search", f"""with {SEARCHED}
 select distinct keyword, url, title, content
 from searched join whole on term = keyword left join articles using (url)""")
 
+ORACLE["search_ranges"] = ORACLE["search"]
+_add("index_maintained", f"with {FULL_INDEX} select * from full_index")
+
 _add("search_timed", f"""with {SEARCHED.replace(ARTICLES, ARTICLES + f", {TIMED.strip()}", 1)}
 select distinct keyword, url, title, content, strftime(ts, '%Y-%m-%d %H:%M:%S') as time
 from searched join whole on term = keyword left join articles using (url)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import charset, dates, fixed_values, html
 from ..functions.porter import stem
 from ..functions.text import CJK, WORD, bind, unescape
-from ..operators import analyzer, extract, graph, index, keywords, lookup, segment, store, tagging
+from ..operators import analyzer, extract, graph, index, keywords, lookup, ranged, segment, store, tagging
 from ..sources import articles, files
 from ..session import materialise, scratch_path, spread, written
 
@@ -734,6 +734,42 @@ def search_timed(spark, folder):
     return lookup.search(stored, found, _searched(stored))
 
 
+def _maintained(spark: SparkSession, folder: str) -> tuple[DataFrame, str]:
+    """The article table and the path of its index, which was built from an older state and then changed.
+
+    In the older state, pages of click events are not there yet, those of error events have another
+    text, and those of signup events have a second url that is gone now.
+    """
+    path = scratch_path(spark, "ranged")
+    found = _stored_articles(spark, folder)
+    kind = _table(spark, folder, "events").select(F.col("event_id").alias("page_id"), "event_type")
+    kinds = _table(spark, folder, "pages").select("page_id", "url").join(kind, "page_id", "left")
+    tagged = written(found.join(kinds.drop("page_id"), "url", "left"), "tagged")
+    new, changed, gone = (tagged.filter(F.col("event_type") == e) for e in ("click", "error", "signup"))
+    older = changed.withColumn("content", F.concat_ws(" ", "title", F.lit("old"), "title"))
+    extra = gone.withColumn("url", F.concat("url", F.lit("?old")))
+    same = tagged.filter(~F.coalesce("event_type", F.lit("")).isin("click", "error"))
+    idf = keywords.learn_idf(index.article_texts(found))
+    ranged.create(index.full_index(same.unionByName(older).unionByName(extra), idf), path)
+    changes = ranged.posting_changes(older.unionByName(extra), new.unionByName(changed), idf)
+    ranged.apply(spark, path, changes)
+    return found, path
+
+
+@query
+def index_maintained(spark, folder):
+    """The index after new, changed and deleted articles were merged into it."""
+    return store.pipe_joined(ranged.read(spark, _maintained(spark, folder)[1]))
+
+
+@query
+def search_ranges(spark, folder):
+    """Search that reads only the ranges of its keywords."""
+    found, path = _maintained(spark, folder)
+    asked = written(_searched(ranged.read(spark, path)), "asked")
+    return lookup.search(ranged.read(spark, path, asked), found, asked)
+
+
 # Term graph
 
 
