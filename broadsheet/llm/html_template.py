@@ -6,9 +6,14 @@ compared by a digest, so no host's pages are gathered. A group of tokens with on
 least ``SUPPORT`` of the host's pages have is an equivalence class; it is valid if its tokens stand in
 one order on all of them. The class that has each token once a page is the template's frame, valid
 classes that always lie in one slot of the frame are nested in it. What lies between the frame's
-tokens are slots. Slots inside an article or main element hold the main text; if the frame has none,
-slots outside menus, adverts and the like do, without the texts of nested classes that the host
-repeats on nearly all pages. Pages that miss the frame, and hosts with too few pages, are cut by element names alone.
+tokens are slots. The main text is what remains in the slots inside article or main elements, or, on
+a page without them, in all slots outside menus, adverts and the like: texts of the frame and of
+nested classes that the host repeats on nearly all pages are the template's and go. Inside articles
+they go only if nearly all the host's articles differ, so that copies of one article are not taken
+for a template. Pages that miss the frame, and hosts with too few pages, are cut by element names alone.
+
+Markup is read as the HTML standard reads it: quotes delimit a value only right after its equals sign,
+and ``a <b and c> d`` holds a tag. The work on a page grows with its length, however deep it is nested.
 
 Templates are small: a token of a class is on at least ``SUPPORT`` of the host's pages. They are
 broadcast inside checked bounds and otherwise joined with salted hosts.
@@ -21,7 +26,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +44,8 @@ REPEATED = 0.9
 SALTS = 32
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*)>?", re.S)
-_ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*)?)*)>?""", re.S)
+_ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)""")
 _PARTS = re.compile(r"[a-z0-9]+")
 
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript"}
@@ -60,13 +66,21 @@ ASIDE_WORDS = set(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
     "footer header menu modal nav navbar navigation newsletter notice notices popup promo respond share sharing "
     "sidebar social sponsor sponsored subscribe".split())
+#: These are not aside for a word in a longer class name, articles only as a whole one of theirs.
+WHOLE = {"html", "body", "main", "article"}
+ARTICLE_WORDS = set("ad ads advert advertisement comment promo sponsored".split())
 
 
 def _aside(name: str, attributes: str) -> bool:
     if name in ASIDE:
         return True
     for key, value in _ATTRIBUTE.findall(attributes):
-        key, words = key.lower(), set(_PARTS.findall(value.lower()))
+        key, value = key.lower(), value.lower()
+        if name in WHOLE:
+            if name == "article" and key == "class" and set(value.strip("\"'").split()) & ARTICLE_WORDS:
+                return True
+            continue
+        words = set(_PARTS.findall(value))
         if key in ("class", "id") and words & ASIDE_WORDS or key == "role" and words & ASIDE_ROLES:
             return True
     return False
@@ -83,14 +97,19 @@ class Token:
 
 def tokens(page: str) -> Iterator[Token]:
     """The tokens of a page in order; work grows with its length."""
-    stack: list[tuple[str, bool, bool]] = []  # name, in main, aside
+    stack: list[tuple[str, bool, bool, int]] = []  # name, in main, aside, place of the nearest block
+    open_at: defaultdict[str, list[int]] = defaultdict(list)  # places of the open elements of a name
 
     def state() -> tuple[bool, bool]:
-        return stack[-1][1:] if stack else (False, False)
+        return stack[-1][1:3] if stack else (False, False)
 
     def path() -> str:
         return "/".join(name for name, *_ in stack[-6:])
 
+    def close(place: int) -> None:
+        while len(stack) > place:
+            open_at[stack.pop()[0]].pop()
+
     def words(raw: str) -> Iterator[Token]:
         if text := html.unescape(raw):
             yield Token(f"{path()}|{' '.join(text.split())}", text, *state(), False)
@@ -104,26 +123,24 @@ def tokens(page: str) -> Iterator[Token]:
             continue
         name = m[2].lower()
         if m[1]:
-            if any(name == open_name for open_name, *_ in stack):
-                while stack[-1][0] != name:
-                    stack.pop()
+            if open_at[name]:
+                close(open_at[name][-1] + 1)
                 yield Token(f"{path()}>", None, *state(), name in BLOCKS)
-                stack.pop()
+                close(len(stack) - 1)
             elif name in BLOCKS:
                 yield Token(f"{path()}/{name}>?", None, *state(), True)
             continue
         if ended := ENDS.get(name):
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in ended:
-                    del stack[k:]
-                    break
-                if stack[k][0] in BLOCKS:
-                    break
+            place = max((open_at[n][-1] for n in ended if open_at[n]), default=-1)
+            if place >= 0 and place >= stack[-1][3]:
+                close(place)
         main, aside = state()
-        stack.append((name, main or name in MAIN, aside or _aside(name, m[3])))
+        block = len(stack) if name in BLOCKS else stack[-1][3] if stack else -1
+        stack.append((name, main or name in MAIN, aside or _aside(name, m[3]), block))
+        open_at[name].append(len(stack) - 1)
         yield Token(f"{path()}<", None, *state(), name in BLOCKS)
         if name in VOID or m[3].endswith("/"):
-            stack.pop()
+            close(len(stack) - 1)
         elif name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)", re.I).search(page, at)
             stop = end.start() if end else len(page)
@@ -141,24 +158,26 @@ def _hash(key: str) -> int:
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
-            hosts, places, keys, counts, firsts = [], [], [], [], []
+            hosts, places, mains, keys, counts, firsts = [], [], [], [], [], []
             part = batch.slice(at, 256)
             for host, place, page in zip(*(part.column(k) for k in range(3))):
                 host, place, page = host.as_py(), place.as_py(), page.as_py()
                 seen: dict[int, list[int]] = {}
-                for n, token in enumerate(tokens(page)):
+                found = list(tokens(page))
+                for n, token in enumerate(found):
                     if (own := seen.get(key := _hash(token.key))) is None:
                         seen[key] = [1, n]
                     else:
                         own[0] += 1
                 hosts += [host] * len(seen)
                 places += [place] * len(seen)
+                mains += [_hash(_joined(t for t in found if t.text is None or t.main and not t.aside))] * len(seen)
                 keys += seen
                 counts += [c for c, _ in seen.values()]
                 firsts += [f for _, f in seen.values()]
-            yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(places, pa.int64()), pa.array(keys, pa.int64()),
-                                   pa.array(counts, pa.int32()), pa.array(firsts, pa.int32())],
-                                  ["host", "place", "token", "n", "first"])
+            yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(places, pa.int64()), pa.array(mains, pa.int64()),
+                                   pa.array(keys, pa.int64()), pa.array(counts, pa.int32()), pa.array(firsts, pa.int32())],
+                                  ["host", "place", "main", "token", "n", "first"])
 
 
 def with_host(pages: DataFrame) -> DataFrame:
@@ -170,14 +189,17 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def deduce(pages: DataFrame) -> DataFrame:
-    """Templates ``host, frame, repeated`` of ``pages(host, html)``: token digests in order.
+    """Templates ``host, frame, repeated, varied`` of ``pages(host, html)``: token digests in order.
+
+    ``varied`` says that nearly all main texts of the host differ.
 
     Writes the tokens' occurrences to the shared folder when called.
     """
     seen = written(
         pages.select("host", F.monotonically_increasing_id().alias("place"), "html")
-        .mapInArrow(_occurrences, "host string, place long, token long, n int, first int"), "tokens")
-    sizes = seen.groupBy("host", "place").agg(F.lit(1)).groupBy("host").agg(F.count("*").alias("pages"))
+        .mapInArrow(_occurrences, "host string, place long, main long, token long, n int, first int"), "tokens")
+    sizes = seen.groupBy("host", "place").agg(F.max("main").alias("main")).groupBy("host", "main").agg(
+        F.count("*").alias("pages")).groupBy("host").agg(F.sum("pages").alias("pages"), F.count("*").alias("articles"))
     vectors = seen.groupBy("host", "token").agg(
         F.count("*").alias("support"), F.max("n").alias("most"),
         F.bit_xor(F.xxhash64("place", "n")).alias("vector"))
@@ -208,49 +230,45 @@ def deduce(pages: DataFrame) -> DataFrame:
         .groupBy("host", "vector").agg(F.min("slot").alias("a"), F.max("slot").alias("b")).where("a = b")
         .join(valid.where(F.col("support") >= REPEATED * F.col("pages")).select("host", "vector", "order"), ["host", "vector"])
         .groupBy("host").agg(F.flatten(F.collect_list("order")).alias("repeated")))
-    return frames.join(nested, "host", "left").select(
-        "host", "frame", F.coalesce("repeated", F.array().cast("array<bigint>")).alias("repeated"))
+    varied = sizes.select("host", (F.col("articles") >= REPEATED * F.col("pages")).alias("varied"))
+    return frames.join(nested, "host", "left").join(varied, "host").select(
+        "host", "frame", F.coalesce("repeated", F.array().cast("array<bigint>")).alias("repeated"), "varied")
 
 
-def main_text(page: str, frame: list[int] | None = None, repeated: frozenset[int] | set[int] = frozenset()) -> str:
+def main_text(page: str, frame: list[int] | None = None, repeated: frozenset[int] | set[int] = frozenset(),
+              varied: bool = False) -> str:
     """The blocks of the main slots of a page, joined by line breaks."""
     found = list(tokens(page))
-    keys = [_hash(t.key) for t in found] if frame else []
-    slots = [0] * len(found)
-    if frame:
-        wanted = 0
-        for n, key in enumerate(keys):
-            if wanted < len(frame) and key == frame[wanted]:
-                wanted += 1
-            slots[n] = wanted
-        if wanted < len(frame):
-            frame = None
-    main = {slots[n] for n, t in enumerate(found) if t.main and t.text and not t.aside}
-    any_main = bool(main) or any(t.main for t in found)
+    any_main = any(t.main for t in found)
+    kept = [t for t in found if t.text is None or not t.aside and (t.main or not any_main)]
+    if frame and (varied or not any_main):
+        keys = map(_hash, (t.key for t in found))
+        if all(wanted in keys for wanted in frame):  # in the frame's order
+            kept = [t for t in kept if t.text is None or _hash(t.key) not in repeated]
+    return _joined(kept)
+
+
+def _joined(kept: Iterable[Token]) -> str:
+    """Texts of tokens: one line a block, with single spaces."""
     blocks, words = [], []
-    for n, token in enumerate(found):
-        if token.text is None:
-            if token.block and words:
-                blocks.append(" ".join("".join(words).split()))
-                words = []
-            elif not token.block and token.key.endswith("br<") and words:
-                words.append(" ")
-            continue
-        if token.aside or (any_main and not (token.main and slots[n] in main)):
-            continue
-        if not any_main and frame and keys[n] in repeated:
-            continue
-        words.append(token.text)
+    for token in kept:
+        if token.text is not None:
+            words.append(token.text)
+        elif token.block and words:
+            blocks.append(" ".join("".join(words).split()))
+            words = []
+        elif not token.block and token.key.endswith("br<") and words:
+            words.append(" ")
     if words:
         blocks.append(" ".join("".join(words).split()))
     return "\n".join(b for b in blocks if b)
 
 
 @F.arrow_udf(StringType())
-def _extract(pages: pa.Array, frames: pa.Array, repeated: pa.Array) -> pa.Array:
+def _extract(pages: pa.Array, frames: pa.Array, repeated: pa.Array, varied: pa.Array) -> pa.Array:
     return pa.array([
-        main_text(page.as_py(), frame.as_py(), set(drop.as_py() or ()))
-        for page, frame, drop in zip(pages, frames, repeated)], pa.string())
+        main_text(page.as_py(), frame.as_py(), set(drop.as_py() or ()), bool(differ.as_py()))
+        for page, frame, drop, differ in zip(pages, frames, repeated, varied)], pa.string())
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -264,4 +282,4 @@ def extract(pages: DataFrame) -> DataFrame:
         salt = F.pmod(F.xxhash64("html"), F.lit(SALTS))
         copies = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
         joined = hosted.withColumn("salt", salt).join(copies, ["host", "salt"], "left")
-    return joined.select("row", _extract("html", "frame", "repeated").alias("text"))
+    return joined.select("row", _extract("html", "frame", "repeated", "varied").alias("text"))

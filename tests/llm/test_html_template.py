@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 from broadsheet.llm import html_template as h
 from broadsheet.llm.queries import QUERIES
@@ -81,3 +82,43 @@ def test_edge_cases_and_both_joins(spark, monkeypatch):
     monkeypatch.setattr(h, "broadcast_within", lambda *a: None)
     assert run() == first
     assert h.extract(df.limit(0)).count() == 0
+
+
+ARTICLE = """<html><body class="has-sidebar"><div>Top</div><article class='post format-notice'><h1>Story {n}</h1><div>Read our terms</div>
+<p>Body {n} of it</p>{more}<span>All rights reserved</span></article><div>Bottom</div></body></html>"""
+
+
+def test_template_removes_repeated_blocks_of_articles(spark):
+    rows = [(i, f"http://a.example.com/{i}", ARTICLE.format(n=i, more="<p>Extra</p>" * (i % 3)), "h", "t", 1) for i in range(30)]
+    found = {r.page_id: r.text for r in h.extract(pages(spark, rows)).select("row.page_id", "text").collect()}
+    for i in range(30):
+        own = [f"Story {i}", f"Body {i} of it", *["Extra"] * (i % 3)]
+        assert found[i] == "\n".join(own)
+        # without the template the host's blocks stay
+        assert h.main_text(rows[i][2]) == "\n".join([own[0], "Read our terms", *own[1:], "All rights reserved"])
+
+
+def test_copies_of_an_article_stay_whole_in_changing_pages(spark):
+    rows = [(i, f"http://a.example.com/{i}", ARTICLE.format(n=i % 2, more="").replace("Top", f"Top {i}"), "h", "t", 1) for i in range(30)]
+    found = {r.page_id: r.text for r in h.extract(pages(spark, rows)).select("row.page_id", "text").collect()}
+    assert all(found[i] == f"Story {i % 2}\nRead our terms\nBody {i % 2} of it\nAll rights reserved" for i in range(30))
+
+
+def test_markup_of_hostile_pages():
+    assert h.main_text('<body class="has-sidebar"><main><article><p>Real text here.</p>') == "Real text here."
+    assert h.main_text("<article class='post format-notice'><p>Real text.</p></article>") == "Real text."
+    assert h.main_text("<article><p>a</p></article><article class='comment odd'><p>no</p></article>") == "a"
+    assert h.main_text("<p title=Bob's>One two.</p><p>It's three.</p><p>Four.</p>") == "One two.\nIt's three.\nFour."
+    assert h.main_text('<p title=a="b>c</p><p x = "y>z" w=\'>\'>d</p><p "e">f</p>') == "c\nd\nf"
+    assert h.main_text("<p title='x>y") == "y"
+    assert h.main_text("<p>one<div>two<p>three<li>four<li>five</div>six") == "one\ntwo\nthree\nfour\nfive\nsix"
+
+
+def test_work_grows_with_the_length():
+    began = time.process_time()
+    n = 100_000
+    assert h.main_text("<b>" * n + "</i>" * n + "x") == "x"
+    assert h.main_text("<p><div>" + "<b>" * n + "<p></p>" * n + "x") == "x"
+    for unclosed in ("<p a='" * n, '<p a="' * n + "<p b='" * n, "<p a= " * n, "<p a=''" * n):
+        h.main_text(unclosed + "x")
+    assert time.process_time() - began < 30
