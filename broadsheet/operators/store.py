@@ -7,21 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import broadcast_within, written
+
+# Places of winning rows are broadcast within both bounds and joined by shuffle beyond.
+BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 16 << 20
+
 
 def upsert_latest(
     base: DataFrame, updates: DataFrame, key: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """Base and updates merged by key; the row with the greatest ``order`` columns wins.
 
-    Each task first reduces its rows to one per key, so a key with very many writes is harmless.
+    Of rows with equal ``order`` the one written later wins: updates before base, then the later row.
+    Rows are written once, with their place. Only key, order and place are grouped, and each task
+    first reduces its rows to one per key, so a key with very many writes is harmless. The winners
+    are then fetched by place: no value is sorted or aggregated, and within the bound none is shuffled.
     """
-    values = [c for c in base.columns if c not in key and c not in order]
-    both = base.unionByName(updates)
-    newest = F.max_by(F.struct(*order, *values), F.struct(*order)).alias("__row")
-    merged = both.groupBy(*key).agg(newest)
-    return merged.select(*key, *(F.col("__row")[c].alias(c) for c in (*order, *values))).select(
-        *base.columns
-    )
+    both = written(
+        base.unionByName(updates).withColumn("__place", F.monotonically_increasing_id()), "writes")
+    newest = F.max(F.struct(*order, "__place"))["__place"].alias("__place")
+    winners = written(both.groupBy(*key).agg(newest).select("__place"), "winners")
+    few = broadcast_within(winners, BROADCAST_ROWS, BROADCAST_BYTES, F.lit("12345678"))
+    winners = winners.hint("shuffle_hash") if few is None else few
+    return both.join(winners, "__place", "left_semi").select(*base.columns)
 
 
 def put_records(spark: SparkSession, rows: Sequence[Sequence[str]], timestamp: int) -> DataFrame:

@@ -72,6 +72,26 @@ def test_put_replaces_and_repeating_it_changes_nothing(spark):
     assert cells_of(store.upsert_latest(once, put, key, order)) == cells_of(once)
 
 
+def test_tied_writes_and_both_ways_to_fetch(spark, monkeypatch):
+    schema = "key string, t int, v string, w array<string>"
+    base = spark.createDataFrame([("a", 1, "old", None), ("a", 1, "later", ["x"]), (None, 1, "n", None), ("b", None, "z", None),
+                                  ("c", 5, "kept", [])], schema)
+    updates = spark.createDataFrame([("a", 1, "latest", None), (None, 1, None, ["y"]), ("b", 0, "b", None), ("c", 4, "older", None),
+                                     ("d", 1, "new", None)] + [("hot", 7, f"h{k}", None) for k in range(3000)], schema)
+    expected = {"a": "latest", None: None, "b": "b", "c": "kept", "d": "new", "hot": "h2999"}
+    for rows in (store.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(store, "BROADCAST_ROWS", rows)
+        merged = store.upsert_latest(base, updates, ["key"], ["t"])
+        assert merged.columns == base.columns
+        found = merged.collect()
+        assert len(found) == 6 and {r.key: r.v for r in found} == expected
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "Aggregate" not in plan and "Sort" not in plan
+        assert ("BroadcastHashJoin" if rows else "ShuffledHashJoin") in plan
+    empty = base.limit(0)
+    assert store.upsert_latest(empty, empty, ["key"], ["t"]).isEmpty()
+
+
 def test_versions_prefix_and_keys(spark):
     rows = spark.createDataFrame([("k", t, t) for t in range(5)] + [("other", 9, 9)],
                                  "key string, t int, v int")
