@@ -198,8 +198,11 @@ def deduce(pages: DataFrame) -> DataFrame:
     seen = written(
         pages.select("host", F.monotonically_increasing_id().alias("place"), "html")
         .mapInArrow(_occurrences, "host string, place long, main long, token long, n int, first int"), "tokens")
-    sizes = seen.groupBy("host", "place").agg(F.max("main").alias("main")).groupBy("host", "main").agg(
-        F.count("*").alias("pages")).groupBy("host").agg(F.sum("pages").alias("pages"), F.count("*").alias("articles"))
+    # written first: its size is known when the vectors meet it, so a hot host isn't dealt to one task
+    sizes = written(
+        seen.groupBy("host", "place").agg(F.max("main").alias("main")).groupBy("host", "main")
+        .agg(F.count("*").alias("pages")).groupBy("host")
+        .agg(F.sum("pages").alias("pages"), F.count("*").alias("articles")), "hosts")
     vectors = seen.groupBy("host", "token").agg(
         F.count("*").alias("support"), F.max("n").alias("most"),
         F.bit_xor(F.xxhash64("place", "n")).alias("vector"))
