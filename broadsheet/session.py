@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,7 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if folder is None:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\[\]]*\])?", sc.master):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="broadsheet-")
     if sc.getCheckpointDir() is None:
