@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.html import ARTICLE_RULE, BodyRule, article_body, page_title
+from ..session import written
 
 CELL_SCHEMA = (
     "row string, columnFamily string, qualifier string, timestamp string, type string, value string"
@@ -48,12 +49,33 @@ def to_cells(
 def from_cells(
     cells: DataFrame, qualifiers: Sequence[str] = ("title", "content"), key: str = "url"
 ) -> DataFrame:
-    """Cells back to one wide row per key; of several values of a cell the newest counts."""
+    """Cells back to one wide row per key; of several values of a cell the newest counts.
+
+    Of values with equal times the cell written later wins; a cell without a time is never the newest.
+    Cells are written once, with their place. Only keys, times and places are grouped, and each task
+    first reduces its cells to one row per key. Values are then fetched by place, one column after the
+    other: they stream past a hash table of the keys and the columns already there, one partition of
+    them at a time, so no value is sorted. Name the column of the longest values last. A key without
+    a value gets a place below zero of its own, so such keys don't meet in one task.
+    """
+    placed = written(
+        cells.select("row", "qualifier", "timestamp", "value").withColumn(
+            "__place", F.monotonically_increasing_id()), "cells")
     newest = [
-        F.max_by("value", F.when(F.col("qualifier") == q, F.col("timestamp"))).alias(q)
-        for q in qualifiers
+        F.max(F.when(
+            (F.col("qualifier") == q) & F.col("timestamp").isNotNull(), F.struct("timestamp", "__place")
+        ))["__place"].alias(f"__place{i}")
+        for i, q in enumerate(qualifiers)
     ]
-    return cells.groupBy(F.col("row").alias(key)).agg(*newest)
+    nowhere = -1 - F.pmod(F.xxhash64(key), F.lit(1 << 40))
+    wide = placed.groupBy(F.col("row").alias(key)).agg(*newest)
+    for i, q in enumerate(qualifiers):
+        place = f"__place{i}"
+        values = placed.where(F.col("qualifier") == q).select(
+            F.col("__place").alias(place), F.col("value").alias(q))
+        wide = wide.withColumn(place, F.coalesce(place, nowhere)).hint("shuffle_hash").join(
+            values, place, "left")
+    return wide.select(key, *qualifiers)
 
 
 def rows_to_json(

@@ -183,3 +183,34 @@ def test_search_shuffles_neither_index_nor_articles(spark):
     assert lookup.search(index, articles, asked.limit(0)).count() == 0
     plan = lookup.lookup_terms(index, asked)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+CELL = "row string, columnFamily string, qualifier string, timestamp bigint, type string, value string"
+
+
+def cell(row, qualifier, timestamp, value):
+    return (row, "f", qualifier, timestamp, "Put", value)
+
+
+def test_pivot_ties_nulls_and_missing_columns(spark):
+    cells = spark.createDataFrame([
+        cell("a", "title", 1, "old"), cell("a", "title", 2, "first"), cell("a", "title", 2, "second"),
+        cell("a", "content", None, "no time"), cell("b", "content", 5, None), cell("b", "content", 4, "older"),
+        cell("c", "other", 1, "x"), cell(None, "title", 1, "no key"), cell(None, "content", 1, "no key either"),
+    ], CELL).coalesce(1)
+    got = {tuple(r) for r in articles.from_cells(cells).collect()}
+    assert got == {("a", "second", None), ("b", None, None), ("c", None, None), (None, "no key", "no key either")}
+    assert articles.from_cells(cells.limit(0)).collect() == []
+
+
+def test_pivot_sorts_no_values(spark):
+    n = 3000
+    cells = spark.range(n).selectExpr(
+        "concat('u', id) as row", "'f' as columnFamily", "'content' as qualifier", "id as timestamp", "'Put' as type",
+        "repeat('v', 50) as value")
+    wide = articles.from_cells(cells)
+    assert wide.where("content is not null and title is null").count() == n
+    plan = wide._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan
+    # the only aggregate knows keys, times and places
+    assert not any("value" in line for line in plan.splitlines() if "Aggregate" in line)
