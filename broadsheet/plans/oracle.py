@@ -162,6 +162,20 @@ _add("scan_articles", "select page_id, url, html from pages")
 _add("cells_unpivot", f"with {CELLS} select * from cells")
 _add("cells_json", f"with {CELLS} select * from cells")
 _add("cells_pivot", f"with {ARTICLES} select url, title, content from articles")
+_add("put_cells", f"""with {CELLS},
+puts as (
+  select "row", 'f' as "columnFamily", qualifier, ts::bigint as "timestamp", 'Put' as type, value from (
+    select min("row") as "row", 'title' as qualifier, 1000000000000 as ts, 'put later' as value from cells
+    union all select max("row"), 'content', 1000000000000, 'put later' from cells
+    union all select 'put:new', 'title', 1000000000000, 'put new'
+    union all select min("row"), 'content', 0, 'put too early' from cells))
+select * from (select * from cells union all select * from puts)
+qualify row_number() over (partition by "row", "columnFamily", qualifier order by "timestamp" desc) = 1""")
+# Of the characters beside ASCII, the charset's Latin letters and its punctuation of the first row;
+# documents hold no others that it has.
+_add("charset_decode", r"""
+select doc_id, regexp_replace(text, '[^\x00-\x7FàáèéêìíòóùúüāēěīńňōūǎǐǒǔǖǘǚǜΑ-ΡΣ-Ωα-ρσ-ωА-ЯЁа-яё¤§¨°±·×÷—‘’“”…、。]', '', 'g') as text
+from documents""")
 _add("upsert_latest", """
 select user_id, event_type, ts, event_id, value, props from events
 qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1""")

@@ -22,6 +22,7 @@ from ..session import materialise, scratch_path, spread, written
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+PUT_TIME = 1_000_000_000_000
 WINDOW_TODAY = dt.date(2024, 1, 20)
 WINDOWS = {
     "today": dates.date_window("today", today=WINDOW_TODAY),
@@ -171,6 +172,17 @@ def cells_pivot(spark, folder):
     return articles.from_cells(cells.unionByName(older))
 
 
+@query
+def put_cells(spark, folder):
+    """Records put into the cells: new values of two known rows, one older than the table's, and a new row."""
+    cells = _cells(spark, folder)
+    first, last = cells.agg(F.min("row"), F.max("row")).first()
+    put = [(first, "f", "title", "put later"), (last, "f", "content", "put later"), ("put:new", "f", "title", "put new")]
+    late = store.put_records(spark, put, PUT_TIME)
+    early = store.put_records(spark, [(first, "f", "content", "put too early")], 0)
+    return store.upsert_latest(cells, late.unionByName(early), ["row", "columnFamily", "qualifier"], ["timestamp"])
+
+
 @query
 def upsert_latest(spark, folder):
     events = _table(spark, folder, "events").select(
