@@ -8,8 +8,9 @@ in logarithmic time. The result is what best fit decreasing gives piece by piece
 of runs - so many pieces of a length go to so many sequences from a number on - whose size depends
 on the capacity, not on the data: a step either ends a length or empties a capacity.
 
-Pieces are numbered within their length by counts of salted parts, so no length is gathered in one
-task, though most pieces of long texts have the same one.
+Pieces are numbered within their length by the tasks that write them, and each task's first number comes
+from the counts of all, so no length is gathered in one task, though most pieces of long texts have the
+same one, and no ids are shuffled.
 
 A tokenizer file whose splitting is the known one is used form by form: texts are cut here, and only forms
 not seen before go to its model. With any other file every text goes to the tokenizer whole.
@@ -30,11 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import written
+from ..session import broadcast_within, written
 
 CAPACITY, CLOSING_ID = 2048, 0
 #: Word forms that a task remembers.
 REMEMBERED = 150_000
+#: First ranks, of a length in a task, that are broadcast; more are joined by shuffle.
+BROADCAST_STARTS = 1_000_000
 
 #: The splitting of texts that is done here; a tokenizer that splits otherwise gets every text whole.
 _NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -198,27 +201,40 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return runs
 
 
-def assign(pieces: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
+def ranks(lengths: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The number of rows of the same length before a row in its task."""
+    seen: dict[int, int] = {}
+    for batch in lengths:
+        values = batch.to_numpy(zero_copy_only=False).astype(np.int64)
+        kinds, group, n = np.unique(values, return_inverse=True, return_counts=True)
+        order = np.argsort(group, kind="stable")
+        rank = np.empty(len(values), np.int64)
+        rank[order] = np.arange(len(values)) - np.repeat(np.cumsum(n) - n, n)
+        yield pa.array(rank + np.array([seen.get(k, 0) for k in kinds.tolist()], np.int64)[group])
+        for k, more in zip(kinds.tolist(), n.tolist()):
+            seen[k] = seen.get(k, 0) + more
+
+
+def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; every other column is passed on.
 
-    Writes the pieces to the shared folder and plans on their histogram when called. ``order`` only
-    fixes which of the pieces of one length come first.
+    Writes the pieces to the shared folder, with the task that wrote them and their rank among its
+    pieces of the same length, and plans on their histogram when called. Ids are never shuffled or
+    sorted: the first rank of each length and task is broadcast within a bound, and joined beyond it.
     """
     spark = pieces.sparkSession
-    salts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = written(pieces.select(
-        F.struct("*").alias("row"), "length",
-        F.pmod(F.xxhash64(*order), F.lit(salts)).alias("salt"),
-        F.monotonically_increasing_id().alias("place"),
-    ), "pieces")
-    counts = written(table.groupBy("length", "salt").agg(F.count("*").alias("n")), "piece-counts")
+    rank = F.arrow_udf(ranks, "bigint").asNondeterministic()
+    numbered = pieces.select(F.struct("*").alias("row"), "length", rank("length").alias("rank"))
+    table = written(numbered.withColumn("task", F.spark_partition_id()), "pieces")
+    counts = written(table.groupBy("length", "task").agg(F.count("*").alias("n")), "piece-counts")
     histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("n")).collect()}
     runs = sorted(plan(histogram, capacity))
     shared = spark.sparkContext.broadcast(np.array(runs, np.int64).reshape(-1, 5))
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    within = Window.partitionBy("length", "salt").orderBy(*(f"row.{c}" for c in order), "place")
-    ranked = table.withColumn("rank", F.row_number().over(within) - 1).join(starts, ["length", "salt"])
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = written(counts.select(
+        "length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")), "piece-starts")
+    few = broadcast_within(starts, BROADCAST_STARTS, 24 * BROADCAST_STARTS, F.lit(" " * 24))
+    ranked = table.join(starts if few is None else few, ["length", "task"])
 
     @F.arrow_udf("struct<sequence_id: bigint, offset: bigint>")
     def place(length: pa.Array, rank: pa.Array) -> pa.Array:

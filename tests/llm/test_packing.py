@@ -116,3 +116,16 @@ def test_edge_cases(spark, make_docs):
     assert Counter(r.doc_id for r in rows) == {1: 1, 2: 1, None: 1, 3: 6}
     assert sum(r.length for r in rows) == 1 + 1 + 2 + 2 * 5001
     assert packing.pack(docs.limit(0), PATH).count() == 0
+
+
+def test_first_ranks_beyond_the_broadcast_bound(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BROADCAST_STARTS", 0)
+    pieces = spark.range(0, 30_000, 1, 7).selectExpr(
+        "id as doc_id", "0 as piece", "cast(case when id % 3 = 0 then 2048 else 1 + id % 900 end as bigint) as length")
+    rows = packing.assign(pieces).collect()
+    assert len(rows) == len({r.doc_id for r in rows}) == 30_000
+    filled = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == filled.get(r.sequence_id, 0)
+        filled[r.sequence_id] = r.offset + r.length
+    assert max(filled.values()) <= 2048
