@@ -25,7 +25,7 @@ from ..functions.fixed_values import (
     RANK_SPAN,
 )
 from ..functions.text import bind, count_values, is_keyword, token_array
-from .keywords import allowed_terms, explode_tokens, keyword_rows, top_terms
+from .keywords import explode_tokens, join_allowed, keyword_rows, top_terms
 
 TOKENS_PER_CHUNK = 2_000_000
 
@@ -59,7 +59,7 @@ def kept_tokens(
     allow_pos = tuple(allow_pos)
     rows = keyword_rows(explode_tokens(docs, ids, text), stop_words)
     if allow_pos:
-        rows = rows.join(allowed_terms(lexicon, allow_pos), "term")
+        rows = join_allowed(rows, lexicon, allow_pos)
     else:
         rows = rows.limit(0).withColumn("flag", F.lit(""))
     term = F.concat_ws("/", "term", "flag") if with_flag else F.col("term")

@@ -161,3 +161,15 @@ def test_documents_without_text_count_in_the_idf(spark):
     docs = spark.createDataFrame([("aa",), ("aa bb",), (None,)], "text string")
     learned = {r.term: round(r.idf, 6) for r in keywords.learn_idf(docs).collect()}
     assert learned == {"aa": round(math.log(3 / 2), 6), "bb": round(math.log(3), 6)}
+
+
+def test_frequent_terms_of_a_large_lexicon_are_not_shuffled(spark):
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 3 > 0, " ").when(F.col("id") % 2 == 0, "often").otherwise(
+        F.concat(F.lit("w"), F.col("id"))).alias("term"))
+    lexicon = spark.createDataFrame([("often", "n"), ("often", "v"), ("w9", "v"), ("w15", "x"), ("none", "n")], "term string, flag string")
+    whole = keywords.join_allowed(rows, lexicon, ("n", "v"))
+    split = keywords.join_allowed(rows, lexicon, ("n", "v"), max_terms=0, limit=2)
+    assert whole.count() == 501 and whole.exceptAll(split.select(*whole.columns)).isEmpty() and split.count() == 501
+    counts = rows.groupBy("term").agg(F.count(F.lit(1)).alias("n")).cache()
+    assert {r.term for r in keywords.most_frequent(counts, "n", 100).collect()} == {" ", "often"}
+    assert keywords.most_frequent(counts, "n", 1).count() == 1 and keywords.most_frequent(counts.limit(0), "n", 5).count() == 0
