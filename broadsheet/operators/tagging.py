@@ -7,30 +7,44 @@ alphabetically smaller flag, from the end of the sentence on. A term outside the
 ``UNKNOWN``; a transition that isn't listed costs more than any listed one.
 
 Sentences lie in their document's row, so nothing is shuffled while the lexicon is within its checked
-bounds. A larger one is joined with the distinct terms of each document.
+bounds. Of a larger one the most frequent terms, a bounded number, go to all tasks; only the other distinct
+terms of each document are joined with it. Python holds the tokens of a bounded slice of rows at a time.
 """
 
 from __future__ import annotations
 
+import string
 import sys
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import KEYWORD_STOP_WORDS, SENTENCE_ENDS
-from ..functions.text import is_keyword, token_array
-from ..session import broadcast_within, materialise
-from .keywords import learn_idf, retotal, top_terms, weigh
+from ..functions.text import count_values, is_keyword, token_array
+from ..session import broadcast_within, materialise, written
+from .keywords import learn_idf, most_frequent, retotal, top_terms, weigh
 
 LEXICON_ROWS = 1_000_000
 LEXICON_BYTES = 32 << 20
+#: Terms of a larger lexicon that go to all tasks.
+HOT_TERMS = 100_000
+#: Tokens that are Python objects at a time; a longer row is a slice of its own.
+SLICE_TOKENS = 400_000
+#: Sentences that advance together as long as there are so many; longer ones are tagged alone.
+TOGETHER = 16
+#: Cost of what is no option.
+NEVER = 1 << 60
 #: Distinct pairs of flags that a table of transitions may hold.
 MOST_TRANSITIONS = 10_000
 COST_UNIT = 1_000_000
 UNKNOWN = "x"
+#: Tokens that surely are no words.
+NO_WORDS = sorted({*string.punctuation, *string.whitespace, *SENTENCE_ENDS})
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -59,11 +73,15 @@ def best_flags(
     transitions: dict[tuple[str, str], int], unlisted: int,
 ) -> list[str]:
     """One flag a term of a sentence."""
-    reached, steps = {"": 0}, []
+    reached, steps, price = {"": 0}, [], transitions.get
     for term in terms:
         before, reached, came = reached, {}, {}
         for flag, cost in options(term) or [(UNKNOWN, 0)]:
-            least, prev = min((c + transitions.get((p, flag), unlisted), p) for p, c in before.items())
+            least = prev = None
+            for p, c in before.items():
+                c += price((p, flag), unlisted)
+                if prev is None or c < least or (c == least and p < prev):
+                    least, prev = c, p
             reached[flag], came[flag] = least + cost, prev
         steps.append(came)
     if not steps:
@@ -75,24 +93,93 @@ def best_flags(
     return found[::-1]
 
 
-def _sentences(tokens: list[str]) -> list[list[int]]:
-    """Places of the words, sentence by sentence."""
-    found: list[list[int]] = [[]]
-    for place, token in enumerate(tokens):
-        if token in SENTENCE_ENDS:
-            found.append([])
-        elif token[:1].isalnum():
-            found[-1].append(place)
-    return found
+def slices(lists: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """``(start, stop)`` of runs of rows that hold at most ``most`` values together, or one row."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(lists), 0), np.int64))
+    at = 0
+    while at < len(lists):
+        stop = max(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")), at + 1)
+        yield at, stop
+        at = stop
 
 
-def _tagged(tokens: list[str] | None, options, transitions, unlisted) -> list[dict] | None:
-    if tokens is None:
-        return None
-    return [
-        {"pos": place, "term": tokens[place], "flag": flag}
-        for places in _sentences(tokens)
-        for place, flag in zip(places, best_flags([tokens[p] for p in places], options, transitions, unlisted))]
+_ARROW_TAGS = pa.list_(pa.struct([("pos", pa.int32()), ("term", pa.string()), ("flag", pa.string())]))
+
+
+def _flags_of(ends: np.ndarray, term: np.ndarray, options: list[Options], transitions, unlisted) -> np.ndarray:
+    """One flag a word of many sentences that end at ``ends``, as ``best_flags`` gives it; ``options`` by term.
+
+    All sentences advance together, word by word; the few longest go through ``best_flags`` alone.
+    """
+    names = sorted({f for x in options for f, _ in x} | {""})
+    code, width = {f: k for k, f in enumerate(names)}, max(map(len, options), default=0)
+    flag = np.full((len(options), width), -1, np.int64)
+    cost = np.full((len(options), width), NEVER, np.int64)
+    for k, x in enumerate(options):
+        for j, (f, c) in enumerate(sorted(x)):
+            flag[k, j], cost[k, j] = code[f], c
+    move = np.full((len(names) + 1, len(names) + 1), unlisted, np.int64)  # the last is no flag
+    for (prev, f), c in transitions.items():
+        if prev in code and f in code:
+            move[code[prev], code[f]] = c
+    starts = np.append(0, ends[:-1]) if len(ends) else ends
+    lengths = ends - starts
+    order = np.argsort(-lengths, kind="stable")
+    order = order[lengths[order] > 0]
+    found = np.zeros(len(term), np.int64)
+    most = lengths[order[TOGETHER - 1]] if len(order) >= TOGETHER else 0
+    alone = int((lengths[order] > most).sum())
+    for k in order[:alone]:
+        here = term[starts[k]: ends[k]]
+        found[starts[k]: ends[k]] = [code[f] for f in best_flags(here, options.__getitem__, transitions, unlisted)]
+    order = order[alone:]
+    first, size = starts[order], lengths[order]
+    came, reached, at = [], np.zeros((len(order), 1), np.int64), np.full((len(order), 1), code[""])
+    going = [int(x) for x in np.searchsorted(-size, -np.arange(int(most)), "left")]  # sentences of more than so many words
+    last = np.empty(len(order), np.int64)
+    for step, n in enumerate(going):
+        now = term[first[:n] + step]
+        here = flag[now]
+        price = reached[:n, :, None] + move[at[:n, :, None], here[:, None, :]]
+        came.append(price.argmin(axis=1))  # flags ascend, so the first is the smallest
+        reached, at = price.min(axis=1) + cost[now], here
+        over = going[step + 1] if step + 1 < len(going) else 0
+        last[over:n] = reached[over:n].argmin(axis=1)
+    for step in range(len(going) - 1, -1, -1):
+        n = going[step]
+        place = first[:n] + step
+        found[place] = flag[term[place], last[:n]]
+        last[:n] = came[step][np.arange(n), last[:n]]
+    return np.array(names, object)[found]
+
+
+def _tagged(column: pa.Array, listed: pa.Array | None, often: dict[str, Options], transitions, unlisted) -> pa.Array:
+    """The tagged words of each row of tokens; terms have their options from ``often`` or from the rows' ``listed``."""
+    done = [pa.array([], _ARROW_TAGS)]
+    for start, stop in slices(column, SLICE_TOKENS):
+        part = column.slice(start, stop - start)
+        rare: dict[str, Options] = {}
+        if listed is not None:
+            own = listed.slice(start, stop - start).flatten()
+            for term, flag, cost in set(zip(*(own.field(c).to_pylist() for c in ("term", "flag", "cost")))):
+                rare.setdefault(term, []).append((flag, cost))
+        coded = pc.dictionary_encode(part.flatten(), null_encoding="encode")
+        terms, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        word = np.array([t is not None and t not in SENTENCE_ENDS and t[:1].isalnum() for t in terms], bool)
+        sizes = np.asarray(pc.fill_null(pc.list_value_length(part), 0), np.int64)
+        stops = np.cumsum(sizes)
+        place = np.flatnonzero(word[code]) if len(code) else code.astype(np.int64)
+        limits = np.flatnonzero(np.array([t in SENTENCE_ENDS for t in terms], bool)[code]) if len(code) else place
+        ends = np.searchsorted(place, np.unique(np.concatenate([limits, stops])))  # of sentences, also at the end of a row
+        options = [often.get(t) or rare.get(t) or [(UNKNOWN, 0)] for t in terms]
+        flags = _flags_of(ends, code[place].astype(np.int64), options, transitions, unlisted)
+        pos = place - np.repeat(stops - sizes, np.diff(np.searchsorted(place, np.append(0, stops))))
+        words = pa.StructArray.from_arrays(
+            [pa.array(pos, pa.int32()), coded.dictionary.take(pa.array(code[place])), pa.array(flags, pa.string())],
+            fields=list(_ARROW_TAGS.value_type))
+        bounds = pa.array(np.searchsorted(place, np.append(0, stops)), pa.int32())
+        done.append(pa.ListArray.from_arrays(bounds, words, _ARROW_TAGS, mask=part.is_null()))
+    return pa.concat_arrays(done)
 
 
 def tag_tokens(
@@ -103,54 +190,67 @@ def tag_tokens(
     text: str = "text",
     max_rows: int = LEXICON_ROWS,
     max_bytes: int = LEXICON_BYTES,
+    exploded: bool = True,
+    hot_terms: int = HOT_TERMS,
 ) -> DataFrame:
     """``(ids, pos, term, flag)``: the words of a text, or of ready tokens, with one flag each.
 
     ``lexicon(term, flag, freq)`` and ``transitions(prev, flag, freq)`` are measured when this is called.
-    ``pos`` counts all tokens. ``ids`` name a row.
+    ``pos`` counts all tokens. ``ids`` name a row. Without ``exploded`` the words of a row stay together,
+    ``(ids, tagged)``.
     """
-    known = materialise(_costs(lexicon, "flag", "term"))
+    known = written(_costs(lexicon, "flag", "term"), "lexicon")
     steps, unlisted = transition_costs(transitions)
     kind = "array<struct<pos: int, term: string, flag: string>>"
-    arrow = pa.list_(pa.struct([("pos", pa.int32()), ("term", pa.string()), ("flag", pa.string())]))
     tokens = token_array(docs, text)
-    if broadcast_within(known, max_rows, max_bytes, "term") is not None:
-        options: dict[str, Options] = {}
-        for row in known.toLocalIterator():
-            options.setdefault(row.term, []).append((row.flag, row.cost))
-        shared = docs.sparkSession.sparkContext.broadcast(options)
-
+    small = broadcast_within(known, max_rows, max_bytes, "term") is not None
+    hot = known
+    if not small:
+        counts = written(lexicon.groupBy("term").agg(F.sum("freq").alias("n")), "lexicon-terms")
+        often = materialise(most_frequent(counts, "n", hot_terms).select("term"))
+        hot = known.join(F.broadcast(often), "term")
+    options: dict[str, Options] = {}
+    for row in hot.toLocalIterator():
+        options.setdefault(row.term, []).append((row.flag, row.cost))
+    shared = docs.sparkSession.sparkContext.broadcast(options)
+    if small:
         @F.arrow_udf(kind)
         def tag(column: pa.Array) -> pa.Array:
-            return pa.array([_tagged(x, shared.value.get, steps, unlisted) for x in column.to_pylist()], arrow)
+            return _tagged(column, None, shared.value, steps, unlisted)
 
-        found = docs.select(*ids, tag(tokens).alias("__tagged"))
+        found = docs.select(*ids, tag(tokens).alias("tagged"))
     else:
         @F.arrow_udf(kind)
         def tag_with(column: pa.Array, listed: pa.Array) -> pa.Array:
-            rows = []
-            for x, own in zip(column.to_pylist(), listed.to_pylist()):
-                options: dict[str, Options] = {}
-                for row in own or ():
-                    options.setdefault(row["term"], []).append((row["flag"], row["cost"]))
-                rows.append(_tagged(x, options.get, steps, unlisted))
-            return pa.array(rows, arrow)
+            return _tagged(column, listed, shared.value, steps, unlisted)
 
-        held = docs.select(*ids, F.explode(F.array_distinct(tokens)).alias("term")).join(known, "term")
-        own = held.groupBy(*ids).agg(F.collect_list(F.struct("term", "flag", "cost")).alias("__own"))
-        found = docs.join(own, list(ids), "left").select(*ids, tag_with(tokens, F.col("__own")).alias("__tagged"))
-    return found.select(*ids, F.inline("__tagged"))
+        # ids may repeat or be null, so the text is part of the key
+        ready = dict(docs.dtypes)[text].startswith("array")
+        whole = F.array_join(tokens, "\u0000") if ready else F.col(text)
+        key = F.unhex(F.md5(F.concat(F.to_json(F.struct(*ids)), F.lit("\u0000"), F.coalesce(whole, F.lit("")))))
+        keyed = docs.withColumn("__key", key)
+        words = F.filter(F.array_distinct(tokens), lambda t: ~t.isin(NO_WORDS))
+        rare = known.join(F.broadcast(often), "term", "left_anti")
+        held = keyed.select("__key", F.explode(words).alias("term")).join(F.broadcast(often), "term", "left_anti").join(rare, "term")
+        own = held.groupBy("__key").agg(F.collect_set(F.struct("term", "flag", "cost")).alias("__own"))
+        found = keyed.join(own, "__key", "left").select(*ids, tag_with(tokens, F.col("__own")).alias("tagged"))
+    return found.select(*ids, F.inline("tagged")) if exploded else found
 
 
 def learn_tags(flagged: DataFrame, words: str = "words") -> tuple[DataFrame, DataFrame]:
-    """Lexicon and transitions of flagged sentences, ``array<struct<term, flag>>``; both as counts."""
-    lexicon = flagged.select(F.inline(words)).groupBy("term", "flag").agg(F.count(F.lit(1)).alias("freq"))
-    flags = F.transform(F.col(words), lambda w: w["flag"])
-    pairs = F.arrays_zip(F.concat(F.array(F.lit("")), flags).alias("prev"), flags.alias("flag"))
-    transitions = (
-        flagged.filter(F.size(words) > 0).select(F.inline(F.slice(pairs, F.lit(1), F.size(words))).alias("prev", "flag"))
-        .groupBy("prev", "flag").agg(F.count(F.lit(1)).alias("freq")))
-    return lexicon, transitions
+    """Lexicon and transitions of flagged sentences, ``array<struct<term, flag>>``; both as counts.
+
+    The sentences are read once, for the counts of both together, which are written.
+    """
+    def after(word: Column, i: Column) -> Column:
+        prev = F.when(i > 0, F.get(F.col(words), F.greatest(i - 1, F.lit(0)))["flag"]).otherwise("")
+        return F.struct(prev.alias("prev"), word["term"].alias("term"), word["flag"].alias("flag"))
+
+    counts = written(
+        flagged.select(F.inline(F.transform(words, after))).groupBy("prev", "term", "flag").agg(F.count(F.lit(1)).alias("freq")),
+        "tags")
+    return (counts.groupBy("term", "flag").agg(F.sum("freq").alias("freq")),
+            counts.groupBy("prev", "flag").agg(F.sum("freq").alias("freq")))
 
 
 def tagged_frequencies(
@@ -160,8 +260,20 @@ def tagged_frequencies(
     """``(ids, term[, flag], freq, total)`` of the tagged words that may become keywords.
 
     An empty ``allow_pos`` keeps all flags. With ``with_flag`` a term counts for each flag it has.
+    ``tagged`` may hold words as rows or as arrays; arrays are counted inside their row, and only the
+    counts are shuffled, once.
     """
     allow_pos = tuple(allow_pos)
+    if "tagged" in tagged.columns:
+        words = F.filter("tagged", lambda w: is_keyword(w["term"], stop_words) & (
+            w["flag"].isin(*allow_pos) if allow_pos else F.lit(True)))
+        key = ["term", "flag"] if with_flag else ["term"]
+        counts = count_values(F.transform(words, lambda w: F.struct(*(w[c].alias(c) for c in key))))
+        rows = tagged.select(*ids, counts.alias("__counts")).filter("__counts is not null").repartition(*ids)
+        # an expression: of a plain column Spark would infer a filter that counts everything once more
+        rows = rows.select(*ids, F.inline(F.slice("__counts", F.lit(1), F.size("__counts"))).alias("__value", "n"))
+        rows = rows.select(*ids, *(F.col(f"__value.{c}").alias(c) for c in key), "n")
+        return retotal(rows.groupBy(*ids, *key).agg(F.sum("n").alias("freq")), ids)
     kept = tagged.filter(is_keyword(F.col("term"), stop_words))
     if allow_pos:
         kept = kept.filter(F.col("flag").isin(*allow_pos))

@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,3 +103,55 @@ def test_stem_function_and_stop_table(spark):
     assert terms(stem=lambda w: w[:3]) == ["cat", "wer", "hop", "jum"]
     listed = spark.createDataFrame([("were",), ("the",), ("and",), ("were",), ("Cats",)], "term string")
     assert terms(stop_words=listed) == ["cat", "hop", "jump"]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_sentences_together_as_alone(monkeypatch, seed):
+    chance = random.Random(seed)
+    monkeypatch.setattr(tagging, "SLICE_TOKENS", chance.choice([3, 50, 10_000]))
+    monkeypatch.setattr(tagging, "TOGETHER", chance.choice([1, 2, 4]))
+    options = {t: [(f, chance.randrange(5)) for f in chance.sample("anvx", chance.randrange(1, 5))] for t in "pqrst"}
+    moves = {(p, f): chance.randrange(6) for p in ("", *"anvx") for f in "anvx" if chance.random() < 0.8}
+    rows = [chance.choice([None, [], chance.choices("pqrstz .!", k=chance.randrange(30))]) for _ in range(chance.randrange(12))]
+    rare = [None if r is None else [
+        {"term": t, "flag": f, "cost": c} for t in sorted({*r} & {*"rst"}) for f, c in options[t]] for r in rows]
+    kind = pa.list_(pa.struct([("term", pa.string()), ("flag", pa.string()), ("cost", pa.int64())]))
+    found = tagging._tagged(pa.array(rows, pa.list_(pa.string())), pa.array(rare, kind), {t: options[t] for t in "pq"}, moves, 9)
+
+    def alone(tokens):
+        marks = [-1, *(k for k, t in enumerate(tokens) if t in ".!"), len(tokens)]
+        for a, b in zip(marks, marks[1:]):
+            places = [k for k in range(a + 1, b) if tokens[k] != " "]
+            for k, flag in zip(places, tagging.best_flags([tokens[k] for k in places], options.get, moves, 9)):
+                yield {"pos": k, "term": tokens[k], "flag": flag}
+
+    assert found.to_pylist() == [None if r is None else [*alone(r)] for r in rows]
+
+
+def test_large_lexicon_with_null_and_repeated_ids(spark, tables):
+    docs = spark.createDataFrame(
+        [(None, "we saw the old saw"), (None, "the gone saw"), (1, "we saw"), (1, "the old saw. we saw")], "id long, text string")
+    whole, split = (
+        sorted((str(r.id), r.pos, r.term, r.flag) for r in tagging.tag_tokens(docs, ["id"], *tables, max_rows=n, hot_terms=2).collect())
+        for n in (tagging.LEXICON_ROWS, 0))
+    assert whole == split and len(whole) == 15
+    rows = tagging.tag_tokens(docs, ["id"], *tables)
+    arrays = tagging.tag_tokens(docs, ["id"], *tables, exploded=False)
+    for options in ({"with_flag": True}, {"allow_pos": ("n", "v"), "with_flag": True}, {"allow_pos": ("v",)}):
+        a, b = (tagging.tagged_frequencies(x, ["id"], stop_words=(), **options) for x in (rows, arrays))
+        assert a.count() and a.exceptAll(b.select(*a.columns)).isEmpty() and a.count() == b.count()
+
+
+def test_sentences_are_read_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(text):
+        seen.add(1)
+        return text
+
+    text = read("text")
+    docs = spark.createDataFrame([("a",), ("b",), ("c",)], "text string").select(
+        F.array(F.struct(text.alias("term"), F.lit("n").alias("flag"))).alias("words"))
+    lexicon, moves = tagging.learn_tags(docs)
+    assert lexicon.count() == 3 and moves.collect() == [("", "n", 3)] and seen.value == 3
