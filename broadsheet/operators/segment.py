@@ -18,7 +18,9 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +33,8 @@ from ..session import broadcast_within, materialise
 DICTIONARY_ROWS = 1_000_000
 DICTIONARY_BYTES = 32 << 20
 COST_UNIT = 1_000_000
+#: Characters of text that Python works on at a time; a longer row is a slice of its own.
+SLICE_CHARACTERS = 500_000
 PIECE = f"{CJK}+|(?:[^\\P{{L}}{CJK_FIRST}-{CJK_LAST}]|\\p{{N}})+|(?s:.)"
 
 # Ship this module's functions with the job, so that executors need no installed package.
@@ -101,9 +105,27 @@ def spans_of(pieces: Iterable[str], cost, unlisted: int, longest: int) -> list[t
 _ARROW_SPANS = pa.list_(pa.struct([("term", pa.string()), ("startpos", pa.int64()), ("endpos", pa.int64())]))
 
 
-def _array(rows: list[list[tuple[str, int, int]] | None]) -> pa.Array:
-    names = ("term", "startpos", "endpos")
-    return pa.array([None if r is None else [dict(zip(names, t)) for t in r] for r in rows], _ARROW_SPANS)
+def _cut(column: pa.Array, cost_of: Callable[[int], Callable[[str], int | None]], unlisted: int, longest: int) -> pa.Array:
+    """Tokens with offsets of each row of pieces, slice by slice; ``cost_of`` gives the costs of a row's words."""
+    done, at = [pa.array([], _ARROW_SPANS)], 0
+    pieces = pc.cumulative_sum(pc.binary_length(column.flatten())).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(column), 0), np.int64))
+    sizes = np.append(pieces, 0)[ends - 1] * (ends > 0) if len(pieces) else ends
+    while at < len(column):
+        stop = max(int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + 3 * SLICE_CHARACTERS, "right")), at + 1)
+        part, ends_here, terms, starts, stops = column.slice(at, stop - at), [0], [], [], []
+        for row, x in enumerate(part.to_pylist(), at):
+            for term, start, end in spans_of(x or (), cost_of(row), unlisted, longest):
+                terms.append(term)
+                starts.append(start)
+                stops.append(end)
+            ends_here.append(len(terms))
+        spans = pa.StructArray.from_arrays(
+            [pa.array(terms, pa.string()), pa.array(starts, pa.int64()), pa.array(stops, pa.int64())],
+            fields=list(_ARROW_SPANS.value_type))
+        done.append(pa.ListArray.from_arrays(pa.array(ends_here, pa.int32()), spans, _ARROW_SPANS, mask=part.is_null()))
+        at = stop
+    return pa.concat_arrays(done)
 
 
 def with_tokens(
@@ -126,12 +148,9 @@ def with_tokens(
     pieces = [F.regexp_extract_all(F.col(c), F.lit(PIECE), F.lit(0)) for c in columns]
     kind = "struct<" + ", ".join(f"c{k}: {SPANS}" for k in range(len(pieces))) + ">"
 
-    def cut_all(texts: Sequence[pa.Array], costs: Iterable[Callable[[str], int | None]]) -> pa.Array:
-        costs = list(costs)
-        found = [
-            _array([None if x is None else spans_of(x, cost, unlisted, longest) for x, cost in zip(column.to_pylist(), costs)])
-            for column in texts]
-        return pa.StructArray.from_arrays(found, [f"c{k}" for k in range(len(found))])
+    def cut_all(texts: Sequence[pa.Array], cost_of: Callable[[int], Callable[[str], int | None]]) -> pa.Array:
+        return pa.StructArray.from_arrays(
+            [_cut(column, cost_of, unlisted, longest) for column in texts], [f"c{k}" for k in range(len(texts))])
 
     if broadcast_within(words, max_rows, max_bytes, "word") is not None:
         table = {r.word: r.cost for r in words.toLocalIterator()}
@@ -139,14 +158,14 @@ def with_tokens(
 
         @F.arrow_udf(kind)
         def cut(*texts: pa.Array) -> pa.Array:
-            return cut_all(texts, [shared.value.get] * len(texts[0]))
+            return cut_all(texts, lambda row: shared.value.get)
 
         found = docs.withColumn("__found", cut(*pieces))
     else:
         @F.arrow_udf(kind)
         def cut_with(*texts: pa.Array) -> pa.Array:
             *texts, listed = texts
-            return cut_all(texts, ({w["word"]: w["cost"] for w in x or ()}.get for x in listed.to_pylist()))
+            return cut_all(texts, lambda row: {w["word"]: w["cost"] for w in listed[row].as_py() or ()}.get)
 
         parts = F.array_distinct(F.concat(*(
             F.coalesce(_substrings(p, longest), F.array().cast("array<string>")) for p in pieces)))

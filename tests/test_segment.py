@@ -3,7 +3,9 @@
 import itertools
 import math
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,3 +96,17 @@ def test_long_chinese_terms_are_indexed(spark):
     cut = segment.with_tokens(found, ["url"], words, {"title": "title", "content": "content"})
     lists = {r.term: r.urls for r in index.full_index(cut).collect()}
     assert lists == {"中国人民大会": ["u1", "u2"], "大会堂": ["u1"]}
+
+
+def test_python_holds_a_slice_of_the_rows(monkeypatch):
+    monkeypatch.setattr(segment, "SLICE_CHARACTERS", 2_000)
+    rows = pa.array([None, [], *([["中国人民", "y", " "] * 100] * 1000)], pa.list_(pa.string()))
+    costs = {"中国": 1, "人民": 1}
+    tracemalloc.start()
+    found = segment._cut(rows, lambda row: costs.get, 9, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.null_count == 1 and len(found) == 1002 and len(found.flatten()) == 400_000
+    assert found[2].as_py()[:3] == [
+        {"term": "中国", "startpos": 0, "endpos": 2}, {"term": "人民", "startpos": 2, "endpos": 4}, {"term": "y", "startpos": 4, "endpos": 5}]
+    assert peak < 10 << 20  # 100 MB and more for all rows at once
