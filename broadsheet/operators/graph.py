@@ -182,17 +182,27 @@ def _rank_batches(ids: Sequence[str], rounds: int, span: int):
                     np.repeat(np.arange(upto - at), lengths[at:upto]),
                     flat.field("pos").to_numpy(), term, rounds, span,
                 )
-                row = pa.array(doc)
+                ranked = pa.StructArray.from_arrays(
+                    [coded.dictionary.take(pa.array(by_term[term])), pa.array(value)], ["term", "rank"])
+                ends_here = np.searchsorted(doc, np.arange(upto - at + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c).take(row) for c in ids]
-                    + [coded.dictionary.take(pa.array(by_term[term])), pa.array(value)],
-                    names=[*ids, "term", "rank"],
+                    [*(part.column(c) for c in ids), pa.ListArray.from_arrays(pa.array(ends_here), ranked)],
+                    names=[*ids, "ranked"],
                 )
                 at = upto
 
     return rank
 
 
+def rank_arrays(
+    kept: DataFrame, ids: Sequence[str], rounds: int = RANK_ROUNDS, span: int = RANK_SPAN
+) -> DataFrame:
+    """``(ids, ranked)``: the ranks of the terms of each row, ``array<struct<term, rank>>``."""
+    types = {f.name: f.dataType.simpleString() for f in kept.schema.fields}
+    schema = ", ".join(f"`{c}` {types[c]}" for c in ids) + ", ranked array<struct<term: string, rank: double>>"
+    return kept.select(*ids, "kept").mapInArrow(_rank_batches(ids, rounds, span), schema)
+
+
 def textrank(
     kept: DataFrame, ids: Sequence[str], rounds: int = RANK_ROUNDS, span: int = RANK_SPAN
 ) -> DataFrame:
@@ -201,10 +211,8 @@ def textrank(
     Ranks start at ``1/n`` and are updated in place, in term order, ``rounds`` times. Documents
     stay where they are: each row is ranked in the task that holds it, no shuffle.
     """
-    types = {f.name: f.dataType.simpleString() for f in kept.schema.fields}
-    schema = ", ".join(f"`{c}` {types[c]}" for c in ids) + ", term string, rank double"
-    ranked = kept.select(*ids, "kept").mapInArrow(_rank_batches(ids, rounds, span), schema)
-    return ranked.withColumnRenamed("rank", "weight")
+    ranked = rank_arrays(kept, ids, rounds, span)
+    return ranked.select(*ids, F.inline("ranked").alias("term", "weight"))
 
 
 def textrank_keywords(
@@ -220,12 +228,19 @@ def textrank_keywords(
 ) -> DataFrame:
     """The ``k`` best terms per document by graph rank: ``(ids, term[, flag], weight, rank)``."""
     kept = kept_tokens(docs, ids, text, stop_words, lexicon, allow_pos, with_flag)
-    ranked = textrank(kept, ids)
-    key = ["term"]
-    if with_flag and lexicon is not None and tuple(allow_pos):
-        ranked = ranked.withColumn("flag", F.regexp_extract("term", "([^/]*)$", 1)).withColumn(
-            "term", F.regexp_replace("term", "/[^/]*$", "")
-        )
-        key = ["term", "flag"]
+    flagged = with_flag and lexicon is not None and bool(tuple(allow_pos))
+    key = ["term", "flag"] if flagged else ["term"]
+
+    def named(t: Column) -> Column:
+        term = t["term"]
+        parts = (
+            [F.regexp_replace(term, "/[^/]*$", "").alias("term"), F.regexp_extract(term, "([^/]*)$", 1).alias("flag")]
+            if flagged else [term.alias("term")])
+        return F.struct((-F.round(t["rank"], 6)).alias("order"), *parts, t["rank"].alias("weight"))
+
+    # a row gives at most k terms: the others are cut before anything is sorted by document
+    terms = F.transform("ranked", named)
+    terms = F.slice(F.sort_array(terms), 1, k) if k else terms
+    ranked = rank_arrays(kept, ids).select(*ids, F.inline(terms)).drop("order")
     best = top_terms(ranked, ids, k, key=key)
     return best.select(*ids, *key, *(("weight",) if with_weight else ()), "rank")

@@ -101,3 +101,11 @@ def test_all_ids_and_batches_are_ranked(spark):
     ranked = graph.textrank(queries._kept(spark, FOLDER), ["doc_id"])
     best = ranked.groupBy("doc_id").agg(F.max("weight").alias("best"))
     assert best.filter(F.abs(F.col("best") - 1) > 1e-9).isEmpty()
+
+
+def test_a_row_gives_k_terms_to_the_sort(spark, docs, monkeypatch):
+    whole = graph.textrank_keywords(docs, ["doc_id"], k=None).filter("rank <= 3")
+    cut = graph.textrank_keywords(docs, ["doc_id"], k=3)
+    assert whole.count() == cut.count() and whole.exceptAll(cut).isEmpty()
+    monkeypatch.setattr(graph, "top_terms", lambda ranked, *_, **__: ranked.withColumn("rank", F.lit(1)))
+    assert graph.textrank_keywords(docs, ["doc_id"], k=3).groupBy("doc_id").count().agg(F.max("count")).first()[0] == 3
