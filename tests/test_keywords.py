@@ -173,3 +173,17 @@ def test_frequent_terms_of_a_large_lexicon_are_not_shuffled(spark):
     counts = rows.groupBy("term").agg(F.count(F.lit(1)).alias("n")).cache()
     assert {r.term for r in keywords.most_frequent(counts, "n", 100).collect()} == {" ", "often"}
     assert keywords.most_frequent(counts, "n", 1).count() == 1 and keywords.most_frequent(counts.limit(0), "n", 5).count() == 0
+
+
+@pytest.mark.parametrize("bound", [keywords.BROADCAST_TERMS, 0])
+def test_flags_and_idf_meet_the_rows_together(spark, monkeypatch, bound):
+    docs = spark.createDataFrame(
+        [(1, "aa bb cc aa dd"), (2, "aa cc"), (2, "aa cc"), (None, "bb dd ee"), (None, "ee")], "id long, text string")
+    lexicon = spark.createDataFrame([("aa", "n"), ("bb", "v"), ("bb", "n"), ("cc", "x"), ("dd", "v"), ("ee", "n")], "term string, flag string")
+    monkeypatch.setattr(keywords, "BROADCAST_TERMS", bound)
+    idf = keywords.learn_idf(docs)
+    terms = keywords.term_frequencies(docs, ["id"])
+    for given, complete in ((idf, True), (idf.filter("term <> 'bb'"), False)):
+        old = keywords.weigh(keywords.flag_terms(terms, ["id"], lexicon, ("n", "v")), given, complete=complete)
+        new = keywords.weigh_flagged(terms, ["id"], lexicon, ("n", "v"), given, complete)
+        assert old.count() == new.count() == 9 and old.exceptAll(new.select(*old.columns)).isEmpty()
