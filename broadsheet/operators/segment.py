@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed_values import CJK_FIRST, CJK_LAST
 from ..functions.text import CJK, SPANS
-from ..session import broadcast_within, materialise
+from ..session import broadcast_within, materialise, once
 
 # Bounds of a dictionary that is sent to every task.
 DICTIONARY_ROWS = 1_000_000
@@ -160,7 +160,7 @@ def with_tokens(
         def cut(*texts: pa.Array) -> pa.Array:
             return cut_all(texts, lambda row: shared.value.get)
 
-        found = docs.withColumn("__found", cut(*pieces))
+        found = docs.withColumn("__found", once(cut)(*pieces))
     else:
         @F.arrow_udf(kind)
         def cut_with(*texts: pa.Array) -> pa.Array:
@@ -171,7 +171,7 @@ def with_tokens(
             F.coalesce(_substrings(p, longest), F.array().cast("array<string>")) for p in pieces)))
         held = docs.select(*ids, F.explode(parts).alias("word")).join(words, "word")
         own = held.groupBy(*ids).agg(F.collect_list(F.struct("word", "cost")).alias("__words"))
-        found = docs.join(own, list(ids), "left").withColumn("__found", cut_with(*pieces, F.col("__words"))).drop("__words")
+        found = docs.join(own, list(ids), "left").withColumn("__found", once(cut_with)(*pieces, F.col("__words"))).drop("__words")
     return found.withColumns({to: F.col(f"__found.c{k}") for k, to in enumerate(columns.values())}).drop("__found")
 
 

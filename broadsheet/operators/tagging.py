@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed_values import KEYWORD_STOP_WORDS, SENTENCE_ENDS
 from ..functions.text import count_values, is_keyword, token_array
-from ..session import broadcast_within, materialise, written
+from ..session import broadcast_within, materialise, once, written
 from .keywords import learn_idf, most_frequent, retotal, top_terms, weigh
 
 LEXICON_ROWS = 1_000_000
@@ -218,7 +218,7 @@ def tag_tokens(
         def tag(column: pa.Array) -> pa.Array:
             return _tagged(column, None, shared.value, steps, unlisted)
 
-        found = docs.select(*ids, tag(tokens).alias("tagged"))
+        found = docs.select(*ids, once(tag)(tokens).alias("tagged"))
     else:
         @F.arrow_udf(kind)
         def tag_with(column: pa.Array, listed: pa.Array) -> pa.Array:
@@ -233,7 +233,7 @@ def tag_tokens(
         rare = known.join(F.broadcast(often), "term", "left_anti")
         held = keyed.select("__key", F.explode(words).alias("term")).join(F.broadcast(often), "term", "left_anti").join(rare, "term")
         own = held.groupBy("__key").agg(F.collect_set(F.struct("term", "flag", "cost")).alias("__own"))
-        found = keyed.join(own, "__key", "left").select(*ids, tag_with(tokens, F.col("__own")).alias("tagged"))
+        found = keyed.join(own, "__key", "left").select(*ids, once(tag_with)(tokens, F.col("__own")).alias("tagged"))
     return found.select(*ids, F.inline("tagged")) if exploded else found
 
 

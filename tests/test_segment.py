@@ -110,3 +110,9 @@ def test_python_holds_a_slice_of_the_rows(monkeypatch):
     assert found[2].as_py()[:3] == [
         {"term": "中国", "startpos": 0, "endpos": 2}, {"term": "人民", "startpos": 2, "endpos": 4}, {"term": "y", "startpos": 4, "endpos": 5}]
     assert peak < 10 << 20  # 100 MB and more for all rows at once
+
+
+def test_texts_are_cut_once(spark, dictionary):
+    docs = spark.createDataFrame([(1, TEXT)], "id long, text string").repartition(4, "id")
+    found = segment.with_tokens(docs, ["id"], dictionary).select("id", F.posexplode("tokens"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1 and found.count() == 9

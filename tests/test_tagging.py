@@ -155,3 +155,10 @@ def test_sentences_are_read_once(spark):
         F.array(F.struct(text.alias("term"), F.lit("n").alias("flag"))).alias("words"))
     lexicon, moves = tagging.learn_tags(docs)
     assert lexicon.count() == 3 and moves.collect() == [("", "n", 3)] and seen.value == 3
+
+
+@pytest.mark.parametrize("max_rows", [tagging.LEXICON_ROWS, 0])
+def test_sentences_are_tagged_once(spark, tables, max_rows):
+    docs = spark.createDataFrame([(1, "we saw")], "id long, text string").repartition(4, "id")
+    found = tagging.tag_tokens(docs, ["id"], *tables, max_rows=max_rows)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1 and found.count() == 2
