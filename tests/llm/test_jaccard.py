@@ -104,6 +104,47 @@ def test_large_group_of_near_copies(spark, monkeypatch):
     check(spark, texts)
 
 
+def near_misses(chance, groups, size, words, edits):
+    """Groups of texts that share many columns, most pairs just not enough to link."""
+    texts = []
+    for g in range(groups):
+        base = [f"m{g}x{i}" for i in range(words)]
+        texts += [" ".join(edited(chance, base, chance.choice(edits))) for _ in range(size)]
+    return texts
+
+
+@pytest.mark.parametrize("size", [4, 24])  # small cells and large ones
+def test_rows_that_share_many_columns_are_paired_once(spark, monkeypatch, size):
+    texts = near_misses(random.Random(11), 24 // size, size, 3000, [40])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    order = jaccard.frequent(docs)
+    sets = jaccard.describe(docs, order).withColumnRenamed("doc_id", "node").cache()
+    counts = jaccard.entries(sets).groupBy("col").count().withColumnRenamed("count", "rows").where("rows > 1")
+    cells, rows = jaccard.dealt(sets, counts), sets.selectExpr("node", "n", "bits", "node as root")
+    distinct = {tuple(r) for r in jaccard.candidates(cells, rows, False).collect()}
+    monkeypatch.setattr(type(docs), "distinct", lambda df: df)  # all rows that the comparison makes
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # cells stay in several tasks
+    try:
+        made = [tuple(r) for r in jaccard.candidates(cells, rows, False).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert distinct and set(made) == distinct and len(made) <= 1.2 * len(distinct)
+    sets_of = [slow_set(t) for t in texts]
+    linked = {(a, b) for b in range(len(texts)) for a in range(b) if 190 * len(sets_of[a] & sets_of[b]) >= 90 * (
+        len(sets_of[a]) + len(sets_of[b]))}
+    assert linked <= distinct
+
+
+def test_groups_around_the_bound(spark):
+    """Long texts of groups of all sizes, each pair near the bound; both passes find links."""
+    chance, texts = random.Random(13), []
+    for size in (2, 3, 7, 8, 9, 10, 17, 40):
+        texts += near_misses(chance, 1, size, 100 + 20 * size, range(1, 4 + size // 4))
+    chance.shuffle(texts)
+    check(spark, texts)
+    check(spark, texts, percent=80)
+
+
 def test_frequent_columns_come_last(spark):
     """Rare columns come first, so that no cell holds all rows of a passage."""
     passage = " ".join(f"p{i}" for i in range(60))
