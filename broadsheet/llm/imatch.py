@@ -18,6 +18,8 @@ next document.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -87,6 +89,11 @@ def learn_lexicon(terms: DataFrame, rows: int, low: float = LOW, high: float = H
         .select("term"), "lexicon")
 
 
+def listed(values: Sequence, kind: str) -> Column:
+    """The values as an array: one literal of the plan, however many they are."""
+    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` with place ``(bucket, rank)``, the next row's text and place.
 
@@ -98,17 +105,17 @@ def with_next(docs: DataFrame) -> DataFrame:
     wanted = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     bounds = docs.agg(F.percentile_approx("doc_id", [k / wanted for k in range(1, wanted)], 20 * wanted)).first()[0]
-    splits = F.array(*(F.lit(b).cast("long") for b in sorted(set(bounds or ()))))
+    splits = listed(sorted(set(bounds or ())), "bigint")
     bucket = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(splits, lambda s: s < F.col("doc_id"))))
     docs = docs.withColumns({"bucket": bucket, "tie": F.xxhash64("text")})
     firsts = sorted(docs.groupBy("bucket").agg(
         F.min_by(F.struct("doc_id", "tie"), F.struct(F.col("doc_id").isNotNull(), "doc_id", "tie")).alias("first")
     ).select("bucket", "first.*").collect())
-    buckets = [r["bucket"] for r in firsts]
-    host = F.lit(None).cast("int")
-    for r, before in zip(firsts, buckets[-1:] + buckets[:-1]):
-        same = (F.col("bucket") == r["bucket"]) & F.col("doc_id").eqNullSafe(F.lit(r["doc_id"])) & (F.col("tie") == r["tie"])
-        host = F.when(same, F.lit(before)).otherwise(host)
+    seats = [None] * (firsts[-1]["bucket"] + 1 if firsts else 0)
+    for r, before in zip(firsts, firsts[-1:] + firsts[:-1]):
+        seats[r["bucket"]] = {"doc_id": r["doc_id"], "tie": r["tie"], "host": before["bucket"]}
+    first = F.get(listed(seats, "struct<doc_id: bigint, tie: bigint, host: int>"), F.col("bucket"))
+    host = F.when(F.col("doc_id").eqNullSafe(first["doc_id"]) & (F.col("tie") == first["tie"]), first["host"])
     spread = docs.withColumn("host", host).select(
         "doc_id", "text", "bucket", "tie", F.explode(F.filter(F.array(
             F.struct(F.col("bucket").alias("at"), F.lit(False).alias("guest")),

@@ -95,3 +95,23 @@ def test_lexicon_beyond_the_bound_gives_the_same(spark, make_docs, monkeypatch):
 def test_no_python_in_the_plan(spark, make_docs):
     plan = imatch.compare_with_next(make_docs((1, "a b"), (2, "c d")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_many_buckets(spark, make_docs):
+    """Two buckets a partition: 800 of them, some rows null or twice, find the same next rows as two buckets."""
+    rows = [(None, "none a"), (None, None), *((i * 7 % 1000, f"word{i % 9} of row {i * 7 % 1000}") for i in range(1000)), (5, "five")]
+    docs, usual = make_docs(*rows, rows[-1]), spark.conf.get("spark.sql.shuffle.partitions")
+    found = {}
+    try:
+        for parts in (1, 400):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            texts = imatch.with_next(docs)
+            own = [(r.doc_id, r.text, r.next_text) for r in texts.select("doc_id", "text", "next_text").collect()]
+            found[parts] = sorted(own, key=str)
+            follows = texts.alias("a").join(texts.alias("b"), (F.col("a.next_bucket") == F.col("b.bucket")) & (F.col("a.next_rank") == F.col("b.rank")))
+            assert follows.where(F.col("a.next_text") == F.col("b.text")).count() == len(rows) + 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert found[1] == found[400] and len(found[1]) == len(rows) + 1
+    plain = dict(rows[2:-1])
+    assert all(after == plain[i + 1] for i, _, after in found[400] if i is not None and 5 < i < 999)
