@@ -8,8 +8,9 @@ different word is longer is taken. Characters that aren't in the dictionary and
 each other become pairs, as they do without a dictionary.
 
 The result is a column of ready tokens with offsets, which every function of the library takes in place
-of the text. A dictionary within the checked bounds goes to all tasks and no row is shuffled. A larger
-one is joined with the distinct substrings of each document, and only the words that a document holds go
+of the text. A dictionary within the checked bounds goes to all tasks as a trie in arrays and no row is
+shuffled: all runs of a slice of the rows are walked and cut together in numpy, only a very long run by
+itself. A larger one is joined with the distinct substrings of each document, and only the words that a document holds go
 back to its row.
 """
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,8 @@ DICTIONARY_BYTES = 32 << 20
 COST_UNIT = 1_000_000
 #: Characters of text that Python works on at a time; a longer row is a slice of its own.
 SLICE_CHARACTERS = 500_000
+#: Characters of a run beyond which it is cut by itself: the runs of a slice advance together, by their distance from the end.
+LONG_RUN = 256
 PIECE = f"{CJK}+|(?:[^\\P{{L}}{CJK_FIRST}-{CJK_LAST}]|\\p{{N}})+|(?s:.)"
 
 # Ship this module's functions with the job, so that executors need no installed package.
@@ -105,14 +109,171 @@ def spans_of(pieces: Iterable[str], cost, unlisted: int, longest: int) -> list[t
 _ARROW_SPANS = pa.list_(pa.struct([("term", pa.string()), ("startpos", pa.int64()), ("endpos", pa.int64())]))
 
 
-def _cut(column: pa.Array, cost_of: Callable[[int], Callable[[str], int | None]], unlisted: int, longest: int) -> pa.Array:
-    """Tokens with offsets of each row of pieces, slice by slice; ``cost_of`` gives the costs of a row's words."""
+class Trie(NamedTuple):
+    """A dictionary in arrays. Letters are numbered from 1; the edge with ``keys[n]``, made of a node and a letter, leads to node ``n``."""
+
+    letters: np.ndarray  # number of each Chinese character, 0 if no word has it, with a 0 on either side
+    keys: np.ndarray
+    table: np.ndarray  # nodes by the hash of their key, the next free place if it is taken
+    costs: np.ndarray  # of the word that ends at a node, -1 if none does
+
+    @classmethod
+    def of(cls, costs: dict[str, int]) -> Trie:
+        words = [w for w in costs if CJK_FIRST <= min(w) and max(w) <= CJK_LAST]
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64) - ord(CJK_FIRST) + 1
+        letters = np.zeros(ord(CJK_LAST) - ord(CJK_FIRST) + 3, np.int64)
+        letters[codes] = 1
+        letters *= np.cumsum(letters)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        starts, node, keys = np.cumsum(sizes) - sizes, np.zeros(len(words), np.int64), [np.array([-1], np.int64)]
+        nodes = 1
+        for depth in range(sizes.max(initial=0)):
+            on = np.flatnonzero(sizes > depth)
+            found, place = np.unique(node[on] * len(letters) + letters[codes[starts[on] + depth]], return_inverse=True)
+            node[on] = nodes + place
+            nodes += len(found)
+            keys.append(found)
+        ends = np.full(nodes, -1, np.int64)
+        ends[node] = np.fromiter((costs[w] for w in words), np.int64, len(words))
+        trie = cls(letters, np.concatenate(keys), np.zeros(1 << (4 * nodes).bit_length(), np.int32), ends)
+        rest = np.arange(1, nodes)
+        at = trie._hashed(trie.keys[rest])
+        while len(rest):
+            free = trie.table[at] == 0
+            trie.table[at[free]] = rest[free]
+            left = trie.table[at] != rest
+            rest, at = rest[left], (at[left] + 1) % len(trie.table)
+        return trie
+
+    def _hashed(self, keys: np.ndarray) -> np.ndarray:
+        shift = np.uint64(65 - len(self.table).bit_length())
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> shift).astype(np.int64)
+
+    def numbered(self, codes: np.ndarray) -> np.ndarray:
+        return self.letters[np.clip(codes.astype(np.int64) - ord(CJK_FIRST) + 1, 0, len(self.letters) - 1)]
+
+    def step(self, nodes: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """The nodes that the letters lead to, 0 where no word goes on so."""
+        keys = nodes * len(self.letters) + letters
+        at = self._hashed(keys)
+        found = self.table[at]
+        wrong = np.flatnonzero((found > 0) & (self.keys[found] != keys))
+        while len(wrong):
+            at[wrong] = (at[wrong] + 1) % len(self.table)
+            found[wrong] = self.table[at[wrong]]
+            wrong = wrong[(found[wrong] > 0) & (self.keys[found[wrong]] != keys[wrong])]
+        return found
+
+    def words_in(self, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(start, length, cost)`` of every listed word in the letters; a 0 ends a run, and the last letter is one."""
+        starts, lengths, costs = [], [], []
+        at, length = np.flatnonzero(letters), 0
+        nodes = np.zeros(len(at), np.int64)
+        while len(at):
+            nodes = self.step(nodes, letters[at + length])
+            on = nodes > 0
+            at, nodes, length = at[on], nodes[on], length + 1
+            cost = self.costs[nodes]
+            listed = cost >= 0
+            starts.append(at[listed])
+            lengths.append(np.full(len(starts[-1]), length))
+            costs.append(cost[listed])
+        none = [np.zeros(0, np.int64)]
+        return np.concatenate(starts or none), np.concatenate(lengths or none), np.concatenate(costs or none)
+
+
+def _ends_of_runs(codes: np.ndarray, starts: np.ndarray, stops: np.ndarray, trie: Trie, unlisted: int, ends: np.ndarray) -> None:
+    """Puts the ends of the tokens of runs up to ``LONG_RUN`` at their starts in ``ends``, all runs together."""
+    sizes = stops - starts + 1  # each run has one more place, its end
+    last = np.cumsum(sizes) - 1
+    left = np.repeat(last, sizes) - np.arange(sizes.sum())  # characters from a place to the end of its run
+    place = np.repeat(stops, sizes) - left
+    letters = np.where(left > 0, trie.numbered(codes[np.minimum(place, len(codes) - 1)]), 0)
+    begin, length, cost = trie.words_in(letters)
+    base = int(length.max(initial=1)) + 1
+    single = np.zeros(len(left), bool)
+    single[begin[length == 1]] = True
+    # a choice is the cost times the base less the length, so that the longer of equally cheap words is the least
+    choice, best = np.where(single, np.iinfo(np.int64).max, 0), np.zeros(len(left), np.int64)
+    most = int(left.max(initial=0))
+    by_place, by_word = np.argsort(left.astype(np.uint16), kind="stable"), np.argsort(left[begin].astype(np.uint16), kind="stable")
+    places, words = (np.searchsorted(left[of][by], np.arange(1, most + 2)) for of, by in ((slice(None), by_place), (begin, by_word)))
+    for k in range(most):
+        here, w = by_place[places[k]:places[k + 1]], by_word[words[k]:words[k + 1]]
+        alone = here[~single[here]]
+        choice[alone] = (unlisted + best[alone + 1]) * base - 1
+        np.minimum.at(choice, begin[w], (cost[w] + best[begin[w] + length[w]]) * base - length[w])
+        best[here] = -(-choice[here] // base)
+    step = best * base - choice
+    reached = np.zeros(len(left), bool)
+    reached[last + 1 - sizes] = True
+    for k in range(most - 1, -1, -1):
+        here = by_place[places[k]:places[k + 1]]
+        here = here[reached[here]]
+        reached[here + step[here]] = True
+    word = np.flatnonzero(reached & (left > 0))
+    listed, run = single[word] | (step[word] > 1), word + left[word]
+    pair = ~listed[:-1] & ~listed[1:] & (run[:-1] == run[1:])  # neighbouring unlisted characters
+    pairs, paired = np.append(pair, False)[:len(word)], np.append(False, pair)[:len(word)]
+    kept = listed | pairs | ~paired
+    at = place[word[kept]]
+    ends[at] = at + step[word[kept]] + pairs[kept]
+
+
+def _slice_spans(part: pa.Array, trie: Trie, unlisted: int, longest: int) -> pa.Array:
+    """Tokens with offsets of each row of pieces; tokens are found by the place of their first character among all rows."""
+    flat = part.flatten().cast(pa.large_string())
+    rows = np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(part), 0), np.int64))])
+    if not len(flat):
+        empty = pa.StructArray.from_arrays([pa.array([], f.type) for f in _ARROW_SPANS.value_type], fields=list(_ARROW_SPANS.value_type))
+        return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), empty, _ARROW_SPANS, mask=part.is_null())
+    offsets = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset:flat.offset + len(flat) + 1]
+    data = np.frombuffer(flat.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    byte_at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    edges = np.concatenate([[0], np.cumsum(np.asarray(pc.utf8_length(flat), np.int64))])
+    starts, stops = edges[:-1], edges[1:]
+    chinese = (codes[starts] >= ord(CJK_FIRST)) & (codes[starts] <= ord(CJK_LAST))
+    long = chinese & (stops - starts > LONG_RUN)
+    ends = np.zeros(len(codes), np.int64)  # of the token that starts at a character, 0 if none does
+    ends[starts[~chinese]] = stops[~chinese]
+    _ends_of_runs(codes, starts[chinese & ~long], stops[chinese & ~long], trie, unlisted, ends)
+    for a, b in zip(starts[long].tolist(), stops[long].tolist()):
+        run = codes[a:b].tobytes().decode("utf-32-le")
+        begin, length, cost = trie.words_in(np.append(trie.numbered(codes[a:b]), 0))
+        costs = {run[i:i + n]: c for i, n, c in zip(begin.tolist(), length.tolist(), cost.tolist())}
+        found = np.array(list(run_spans(best_path(run, costs.get, unlisted, longest))), np.int64) + a
+        ends[found[:, 0]] = found[:, 1]
+    first = np.flatnonzero(ends)
+    end = ends[first]
+    sizes = byte_at[end] - byte_at[first]
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    if at[-1] == len(data) and (end[:-1] == first[1:]).all():
+        terms = data
+    else:  # pairs overlap
+        terms = data[np.repeat(byte_at[first] - at[:-1], sizes) + np.arange(at[-1])]
+    terms = pa.Array.from_buffers(pa.string(), len(first), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(terms)])
+    held = np.searchsorted(first, edges[rows])
+    shift = np.repeat(edges[rows[:-1]], np.diff(held))
+    spans = pa.StructArray.from_arrays(
+        [terms, pa.array(first - shift), pa.array(end - shift)], fields=list(_ARROW_SPANS.value_type))
+    return pa.ListArray.from_arrays(pa.array(held, pa.int32()), spans, _ARROW_SPANS, mask=part.is_null())
+
+
+def _cut(
+    column: pa.Array, cost_of: Callable[[int], Callable[[str], int | None]] | Trie, unlisted: int, longest: int,
+) -> pa.Array:
+    """Tokens with offsets of each row of pieces, slice by slice; ``cost_of`` gives the costs of a row's words, or is the trie of all."""
     done, at = [pa.array([], _ARROW_SPANS)], 0
     pieces = pc.cumulative_sum(pc.binary_length(column.flatten())).to_numpy(zero_copy_only=False)
     ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(column), 0), np.int64))
     sizes = np.append(pieces, 0)[ends - 1] * (ends > 0) if len(pieces) else ends
     while at < len(column):
         stop = max(int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + 3 * SLICE_CHARACTERS, "right")), at + 1)
+        if isinstance(cost_of, Trie):
+            done.append(_slice_spans(column.slice(at, stop - at), cost_of, unlisted, longest))
+            at = stop
+            continue
         part, ends_here, terms, starts, stops = column.slice(at, stop - at), [0], [], [], []
         for row, x in enumerate(part.to_pylist(), at):
             for term, start, end in spans_of(x or (), cost_of(row), unlisted, longest):
@@ -148,17 +309,17 @@ def with_tokens(
     pieces = [F.regexp_extract_all(F.col(c), F.lit(PIECE), F.lit(0)) for c in columns]
     kind = "struct<" + ", ".join(f"c{k}: {SPANS}" for k in range(len(pieces))) + ">"
 
-    def cut_all(texts: Sequence[pa.Array], cost_of: Callable[[int], Callable[[str], int | None]]) -> pa.Array:
+    def cut_all(texts: Sequence[pa.Array], cost_of: Callable[[int], Callable[[str], int | None]] | Trie) -> pa.Array:
         return pa.StructArray.from_arrays(
             [_cut(column, cost_of, unlisted, longest) for column in texts], [f"c{k}" for k in range(len(texts))])
 
     if broadcast_within(words, max_rows, max_bytes, "word") is not None:
-        table = {r.word: r.cost for r in words.toLocalIterator()}
-        shared = docs.sparkSession.sparkContext.broadcast(table)
+        trie = Trie.of({r.word: r.cost for r in words.toLocalIterator()})
+        shared = docs.sparkSession.sparkContext.broadcast(tuple(trie))  # plain arrays need no class of this package
 
         @F.arrow_udf(kind)
         def cut(*texts: pa.Array) -> pa.Array:
-            return cut_all(texts, lambda row: shared.value.get)
+            return cut_all(texts, Trie(*shared.value))
 
         found = docs.withColumn("__found", once(cut)(*pieces))
     else:

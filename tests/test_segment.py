@@ -5,6 +5,7 @@ import math
 import random
 import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -116,3 +117,45 @@ def test_texts_are_cut_once(spark, dictionary):
     docs = spark.createDataFrame([(1, TEXT)], "id long, text string").repartition(4, "id")
     found = segment.with_tokens(docs, ["id"], dictionary).select("id", F.posexplode("tokens"))
     assert found._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1 and found.count() == 9
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_runs_cut_together_are_cut_as_alone(seed, monkeypatch):
+    chance = random.Random(seed)
+    monkeypatch.setattr(segment, "LONG_RUN", chance.choice([3, 6, 256]))
+    monkeypatch.setattr(segment, "SLICE_CHARACTERS", chance.choice([5, 40, 500_000]))
+    chars = "中国人民大会堂一鿕"
+    words = {"".join(chance.choices(chars, k=chance.randrange(1, 6))): chance.randrange(1, 9) for _ in range(chance.randrange(25))}
+    costs = {w: round(1e6 * math.log(sum(words.values()) / n)) for w, n in words.items()}
+    unlisted, longest = round(1e6 * math.log(sum(words.values()) or 1)), max(map(len, words), default=1)
+    rows = [None, [], *(
+        [p for _, run in itertools.groupby(chance.choices([*chars * 3, "天", "x", " ", "é", "💥", "\n"], k=50), lambda c: "一" <= c <= "鿕")
+         for p in (["".join(run)] if chance.random() < 0.9 else [])] for _ in range(30))]
+    column = pa.concat_arrays([pa.array(rows, pa.list_(pa.string()))] * 2).slice(5, 50)
+    found = segment._cut(column, segment.Trie.of(costs), unlisted, longest)
+    found.validate(full=True)
+    assert found.equals(segment._cut(column, lambda row: costs.get, unlisted, longest))
+
+
+def test_no_run_of_usual_length_is_cut_by_itself(monkeypatch):
+    monkeypatch.setattr(segment, "SLICE_CHARACTERS", 2_000)
+    monkeypatch.setattr(segment, "best_path", None)
+    rows = pa.array([None, [], *([["中国人民", "y", "人民中国天"] * 100] * 1000)], pa.list_(pa.string()))
+    trie = segment.Trie.of({"中国": 1, "人民": 1, "中国\n": 1})
+    tracemalloc.start()
+    found = segment._cut(rows, trie, 9, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.null_count == 1 and len(found) == 1002 and len(found.flatten()) == 600_000
+    assert [t["term"] for t in found[2].as_py()[:6]] == ["中国", "人民", "y", "人民", "中国", "天"]
+    assert peak < 24 << 20  # the result with it; 100 MB and more for all rows at once
+
+
+def test_hashed_edges_lead_to_every_word():
+    chance = random.Random(1)
+    costs = {"".join(chr(0x4E00 + chance.randrange(5000)) for _ in range(chance.randrange(1, 4))): k for k in range(20_000)}
+    trie = segment.Trie.of(costs)
+    letters = np.concatenate([np.append(trie.numbered(np.array([*map(ord, w)])), 0) for w in costs])
+    starts = np.cumsum([0, *(len(w) + 1 for w in costs)][:-1])
+    found = {(s, n): c for s, n, c in zip(*(x.tolist() for x in trie.words_in(letters)))}
+    assert all(found[s, len(w)] == c for s, (w, c) in zip(starts.tolist(), costs.items()))
