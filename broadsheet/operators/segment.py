@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import CJK_FIRST, CJK_LAST
@@ -36,7 +36,9 @@ DICTIONARY_ROWS = 1_000_000
 DICTIONARY_BYTES = 32 << 20
 COST_UNIT = 1_000_000
 #: Characters of text that Python works on at a time; a longer row is a slice of its own.
-SLICE_CHARACTERS = 500_000
+SLICE_CHARACTERS = 100_000
+#: Nodes times letters of a trie whose keys are places of its table, unhashed.
+FEW_KEYS = 1 << 22
 #: Characters of a run beyond which it is cut by itself: the runs of a slice advance together, by their distance from the end.
 LONG_RUN = 256
 PIECE = f"{CJK}+|(?:[^\\P{{L}}{CJK_FIRST}-{CJK_LAST}]|\\p{{N}})+|(?s:.)"
@@ -113,8 +115,9 @@ class Trie(NamedTuple):
     """A dictionary in arrays. Letters are numbered from 1; the edge with ``keys[n]``, made of a node and a letter, leads to node ``n``."""
 
     letters: np.ndarray  # number of each Chinese character, 0 if no word has it, with a 0 on either side
+    size: int  # of the alphabet, with 0
     keys: np.ndarray
-    table: np.ndarray  # nodes by the hash of their key, the next free place if it is taken
+    table: np.ndarray  # nodes by their key if these are few, else by its hash, the next free place if it is taken
     costs: np.ndarray  # of the word that ends at a node, -1 if none does
 
     @classmethod
@@ -124,18 +127,20 @@ class Trie(NamedTuple):
         letters = np.zeros(ord(CJK_LAST) - ord(CJK_FIRST) + 3, np.int64)
         letters[codes] = 1
         letters *= np.cumsum(letters)
+        size = int(letters.max()) + 1
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         starts, node, keys = np.cumsum(sizes) - sizes, np.zeros(len(words), np.int64), [np.array([-1], np.int64)]
         nodes = 1
         for depth in range(sizes.max(initial=0)):
             on = np.flatnonzero(sizes > depth)
-            found, place = np.unique(node[on] * len(letters) + letters[codes[starts[on] + depth]], return_inverse=True)
+            found, place = np.unique(node[on] * size + letters[codes[starts[on] + depth]], return_inverse=True)
             node[on] = nodes + place
             nodes += len(found)
             keys.append(found)
         ends = np.full(nodes, -1, np.int64)
         ends[node] = np.fromiter((costs[w] for w in words), np.int64, len(words))
-        trie = cls(letters, np.concatenate(keys), np.zeros(1 << (4 * nodes).bit_length(), np.int32), ends)
+        places = nodes * size if nodes * size <= FEW_KEYS else 1 << (4 * nodes).bit_length()
+        trie = cls(letters, size, np.concatenate(keys), np.zeros(places, np.int32), ends)
         rest = np.arange(1, nodes)
         at = trie._hashed(trie.keys[rest])
         while len(rest):
@@ -146,17 +151,21 @@ class Trie(NamedTuple):
         return trie
 
     def _hashed(self, keys: np.ndarray) -> np.ndarray:
+        if len(self.table) == len(self.keys) * self.size:
+            return keys
         shift = np.uint64(65 - len(self.table).bit_length())
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> shift).astype(np.int64)
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> shift).view(np.int64)
 
     def numbered(self, codes: np.ndarray) -> np.ndarray:
         return self.letters[np.clip(codes.astype(np.int64) - ord(CJK_FIRST) + 1, 0, len(self.letters) - 1)]
 
     def step(self, nodes: np.ndarray, letters: np.ndarray) -> np.ndarray:
         """The nodes that the letters lead to, 0 where no word goes on so."""
-        keys = nodes * len(self.letters) + letters
+        keys = nodes * np.int64(self.size) + letters
         at = self._hashed(keys)
         found = self.table[at]
+        if at is keys:
+            return found
         wrong = np.flatnonzero((found > 0) & (self.keys[found] != keys))
         while len(wrong):
             at[wrong] = (at[wrong] + 1) % len(self.table)
@@ -196,8 +205,9 @@ def _ends_of_runs(codes: np.ndarray, starts: np.ndarray, stops: np.ndarray, trie
     # a choice is the cost times the base less the length, so that the longer of equally cheap words is the least
     choice, best = np.where(single, np.iinfo(np.int64).max, 0), np.zeros(len(left), np.int64)
     most = int(left.max(initial=0))
-    by_place, by_word = np.argsort(left.astype(np.uint16), kind="stable"), np.argsort(left[begin].astype(np.uint16), kind="stable")
-    places, words = (np.searchsorted(left[of][by], np.arange(1, most + 2)) for of, by in ((slice(None), by_place), (begin, by_word)))
+    near = left.astype(np.uint16)
+    by_place, by_word = np.argsort(near, kind="stable"), np.argsort(near[begin], kind="stable")
+    places, words = (np.cumsum(np.bincount(x, minlength=most + 1)) for x in (near, near[begin]))
     for k in range(most):
         here, w = by_place[places[k]:places[k + 1]], by_word[words[k]:words[k + 1]]
         alone = here[~single[here]]
@@ -220,20 +230,35 @@ def _ends_of_runs(codes: np.ndarray, starts: np.ndarray, stops: np.ndarray, trie
     ends[at] = at + step[word[kept]] + pairs[kept]
 
 
-def _slice_spans(part: pa.Array, trie: Trie, unlisted: int, longest: int) -> pa.Array:
-    """Tokens with offsets of each row of pieces; tokens are found by the place of their first character among all rows."""
-    flat = part.flatten().cast(pa.large_string())
-    rows = np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(part), 0), np.int64))])
-    if not len(flat):
-        empty = pa.StructArray.from_arrays([pa.array([], f.type) for f in _ARROW_SPANS.value_type], fields=list(_ARROW_SPANS.value_type))
-        return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), empty, _ARROW_SPANS, mask=part.is_null())
+def word_characters(spark: SparkSession) -> np.ndarray:
+    """What each character is to ``PIECE`` in Spark's regular expressions: 2 Chinese, 1 part of a word, 0 a piece of its own."""
+    char = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    found = spark.range(0x110000).where(~F.col("id").between(0xD800, 0xDFFF)).where(char.rlike(r"[\p{L}\p{N}]"))
+    kinds = np.zeros(0x110000, np.uint8)
+    kinds[found.agg(F.collect_list("id")).first()[0]] = 1
+    kinds[ord(CJK_FIRST):ord(CJK_LAST) + 1] = 2
+    return kinds
+
+
+def _slice_spans(
+    part: pa.Array, kinds: np.ndarray, trie: Trie, unlisted: int, longest: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all tokens of the texts: starts and ends in their text, bytes of each term, all these bytes; tokens up to each text.
+
+    Tokens are found by the place of their first character among all texts.
+    """
+    flat = pc.fill_null(part, "").cast(pa.large_string())
     offsets = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset:flat.offset + len(flat) + 1]
-    data = np.frombuffer(flat.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    data = np.frombuffer(flat.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
     codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
     byte_at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
     edges = np.concatenate([[0], np.cumsum(np.asarray(pc.utf8_length(flat), np.int64))])
-    starts, stops = edges[:-1], edges[1:]
-    chinese = (codes[starts] >= ord(CJK_FIRST)) & (codes[starts] <= ord(CJK_LAST))
+    kind = kinds[codes]
+    new = np.append(True, (kind[1:] != kind[:-1]) | (kind[1:] == 0))[:len(codes)]
+    new[edges[edges < len(codes)]] = True
+    starts = np.flatnonzero(new)
+    stops = np.append(starts, len(codes))[1:]
+    chinese = kind[starts] == 2
     long = chinese & (stops - starts > LONG_RUN)
     ends = np.zeros(len(codes), np.int64)  # of the token that starts at a character, 0 if none does
     ends[starts[~chinese]] = stops[~chinese]
@@ -252,28 +277,40 @@ def _slice_spans(part: pa.Array, trie: Trie, unlisted: int, longest: int) -> pa.
         terms = data
     else:  # pairs overlap
         terms = data[np.repeat(byte_at[first] - at[:-1], sizes) + np.arange(at[-1])]
-    terms = pa.Array.from_buffers(pa.string(), len(first), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(terms)])
-    held = np.searchsorted(first, edges[rows])
-    shift = np.repeat(edges[rows[:-1]], np.diff(held))
-    spans = pa.StructArray.from_arrays(
-        [terms, pa.array(first - shift), pa.array(end - shift)], fields=list(_ARROW_SPANS.value_type))
-    return pa.ListArray.from_arrays(pa.array(held, pa.int32()), spans, _ARROW_SPANS, mask=part.is_null())
-
-
-def _cut(
-    column: pa.Array, cost_of: Callable[[int], Callable[[str], int | None]] | Trie, unlisted: int, longest: int,
-) -> pa.Array:
-    """Tokens with offsets of each row of pieces, slice by slice; ``cost_of`` gives the costs of a row's words, or is the trie of all."""
+    held = np.searchsorted(first, edges)
+    shift = np.repeat(edges[:-1], np.diff(held))
+    return first - shift, end - shift, sizes, terms, held
+
+
+def _cut_texts(column: pa.Array, kinds: np.ndarray, trie: Trie, unlisted: int, longest: int) -> pa.Array:
+    """Tokens with offsets of each text, slice by slice, each put where the result has it: no slice is held twice."""
+    texts = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(column), 0), np.int64))
+    most = pc.sum(pc.utf8_length(column)).as_py() or 0  # memory that no token reaches is never touched
+    starts, ends, terms_at = np.empty(most, np.int64), np.empty(most, np.int64), np.zeros(most + 1, np.int32)
+    terms, held = np.empty(2 * (texts[-1] if len(texts) else 0), np.uint8), np.zeros(len(column) + 1, np.int32)
+    at = tokens = size = 0
+    while at < len(column):
+        stop = max(int(np.searchsorted(texts, (texts[at - 1] if at else 0) + 3 * SLICE_CHARACTERS, "right")), at + 1)
+        start, end, sizes, term, upto = _slice_spans(column.slice(at, stop - at), kinds, trie, unlisted, longest)
+        here = slice(tokens, tokens + len(start))
+        starts[here], ends[here], terms_at[tokens + 1:tokens + len(start) + 1] = start, end, size + np.cumsum(sizes)
+        terms[size:size + len(term)] = term
+        held[at + 1:stop + 1] = tokens + upto[1:]
+        at, tokens, size = stop, tokens + len(start), size + len(term)
+    spans = pa.StructArray.from_arrays([
+        pa.Array.from_buffers(pa.string(), tokens, [None, pa.py_buffer(terms_at[:tokens + 1]), pa.py_buffer(terms[:size])]),
+        pa.array(starts[:tokens]), pa.array(ends[:tokens])], fields=list(_ARROW_SPANS.value_type))
+    return pa.ListArray.from_arrays(pa.array(held), spans, _ARROW_SPANS, mask=column.is_null())
+
+
+def _cut(column: pa.Array, cost_of: Callable[[int], Callable[[str], int | None]], unlisted: int, longest: int) -> pa.Array:
+    """Tokens with offsets of each row of pieces, slice by slice; ``cost_of`` gives the costs of a row's words."""
     done, at = [pa.array([], _ARROW_SPANS)], 0
     pieces = pc.cumulative_sum(pc.binary_length(column.flatten())).to_numpy(zero_copy_only=False)
     ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(column), 0), np.int64))
     sizes = np.append(pieces, 0)[ends - 1] * (ends > 0) if len(pieces) else ends
     while at < len(column):
         stop = max(int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + 3 * SLICE_CHARACTERS, "right")), at + 1)
-        if isinstance(cost_of, Trie):
-            done.append(_slice_spans(column.slice(at, stop - at), cost_of, unlisted, longest))
-            at = stop
-            continue
         part, ends_here, terms, starts, stops = column.slice(at, stop - at), [0], [], [], []
         for row, x in enumerate(part.to_pylist(), at):
             for term, start, end in spans_of(x or (), cost_of(row), unlisted, longest):
@@ -306,27 +343,31 @@ def with_tokens(
     """
     columns = columns or {"text": "tokens"}
     words, unlisted, longest = word_costs(dictionary)
-    pieces = [F.regexp_extract_all(F.col(c), F.lit(PIECE), F.lit(0)) for c in columns]
-    kind = "struct<" + ", ".join(f"c{k}: {SPANS}" for k in range(len(pieces))) + ">"
+    kind = "struct<" + ", ".join(f"c{k}: {SPANS}" for k in range(len(columns))) + ">"
 
-    def cut_all(texts: Sequence[pa.Array], cost_of: Callable[[int], Callable[[str], int | None]] | Trie) -> pa.Array:
-        return pa.StructArray.from_arrays(
-            [_cut(column, cost_of, unlisted, longest) for column in texts], [f"c{k}" for k in range(len(texts))])
+    def named(found: Iterable[pa.Array]) -> pa.Array:
+        found = list(found)
+        return pa.StructArray.from_arrays(found, [f"c{k}" for k in range(len(found))])
 
     if broadcast_within(words, max_rows, max_bytes, "word") is not None:
         trie = Trie.of({r.word: r.cost for r in words.toLocalIterator()})
-        shared = docs.sparkSession.sparkContext.broadcast(tuple(trie))  # plain arrays need no class of this package
+        # plain arrays need no class of this package
+        shared = docs.sparkSession.sparkContext.broadcast((word_characters(docs.sparkSession), *trie))
 
         @F.arrow_udf(kind)
         def cut(*texts: pa.Array) -> pa.Array:
-            return cut_all(texts, Trie(*shared.value))
+            kinds, *trie = shared.value
+            return named(_cut_texts(column, kinds, Trie(*trie), unlisted, longest) for column in texts)
 
-        found = docs.withColumn("__found", once(cut)(*pieces))
+        found = docs.withColumn("__found", once(cut)(*(F.make_valid_utf8(c) for c in columns)))
     else:
+        pieces = [F.regexp_extract_all(F.col(c), F.lit(PIECE), F.lit(0)) for c in columns]
+
         @F.arrow_udf(kind)
         def cut_with(*texts: pa.Array) -> pa.Array:
             *texts, listed = texts
-            return cut_all(texts, lambda row: {w["word"]: w["cost"] for w in listed[row].as_py() or ()}.get)
+            return named(_cut(column, lambda row: {w["word"]: w["cost"] for w in listed[row].as_py() or ()}.get,
+                              unlisted, longest) for column in texts)
 
         parts = F.array_distinct(F.concat(*(
             F.coalesce(_substrings(p, longest), F.array().cast("array<string>")) for p in pieces)))

@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import re
 import tracemalloc
 
 import numpy as np
@@ -119,6 +120,9 @@ def test_texts_are_cut_once(spark, dictionary):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1 and found.count() == 9
 
 
+KINDS = np.array([2 if "一" <= chr(c) <= "鿕" else chr(c).isalnum() for c in range(0x110000)], np.uint8)
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_runs_cut_together_are_cut_as_alone(seed, monkeypatch):
     chance = random.Random(seed)
@@ -129,10 +133,11 @@ def test_runs_cut_together_are_cut_as_alone(seed, monkeypatch):
     costs = {w: round(1e6 * math.log(sum(words.values()) / n)) for w, n in words.items()}
     unlisted, longest = round(1e6 * math.log(sum(words.values()) or 1)), max(map(len, words), default=1)
     rows = [None, [], *(
-        [p for _, run in itertools.groupby(chance.choices([*chars * 3, "天", "x", " ", "é", "💥", "\n"], k=50), lambda c: "一" <= c <= "鿕")
-         for p in (["".join(run)] if chance.random() < 0.9 else [])] for _ in range(30))]
+        re.findall("[一-鿕]+|[xé]+|(?s:.)", "".join(chance.choices([*chars * 3, "天", "x", " ", "é", "💥", "\n"], k=chance.randrange(60))))
+        for _ in range(30))]
     column = pa.concat_arrays([pa.array(rows, pa.list_(pa.string()))] * 2).slice(5, 50)
-    found = segment._cut(column, segment.Trie.of(costs), unlisted, longest)
+    texts = pa.array(column.to_pandas().map(lambda x: None if x is None else "".join(x)), pa.string())
+    found = segment._cut_texts(pa.concat_arrays([texts, texts])[50:], KINDS, segment.Trie.of(costs), unlisted, longest)
     found.validate(full=True)
     assert found.equals(segment._cut(column, lambda row: costs.get, unlisted, longest))
 
@@ -140,15 +145,31 @@ def test_runs_cut_together_are_cut_as_alone(seed, monkeypatch):
 def test_no_run_of_usual_length_is_cut_by_itself(monkeypatch):
     monkeypatch.setattr(segment, "SLICE_CHARACTERS", 2_000)
     monkeypatch.setattr(segment, "best_path", None)
-    rows = pa.array([None, [], *([["中国人民", "y", "人民中国天"] * 100] * 1000)], pa.list_(pa.string()))
+    rows = pa.array([None, "", *(["中国人民y人民中国天 " * 100] * 1000)])
     trie = segment.Trie.of({"中国": 1, "人民": 1, "中国\n": 1})
     tracemalloc.start()
-    found = segment._cut(rows, trie, 9, 3)
+    found = segment._cut_texts(rows, KINDS, trie, 9, 3)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert found.null_count == 1 and len(found) == 1002 and len(found.flatten()) == 600_000
+    assert found.null_count == 1 and len(found) == 1002 and len(found.flatten()) == 700_000
     assert [t["term"] for t in found[2].as_py()[:6]] == ["中国", "人民", "y", "人民", "中国", "天"]
-    assert peak < 24 << 20  # the result with it; 100 MB and more for all rows at once
+    # the result is allocated for as many tokens as characters; 100 MB more for all rows at once
+    assert peak < (8 + 8 + 4 + 2 * 3) * 1_100_000 + (8 << 20)
+
+
+def test_characters_are_of_the_kind_they_have_in_regular_expressions(spark):
+    texts = ["aé1²Ⅷx y_z中国a😀b\n\t", "𝔘𝟘𠀀龦鿕鿖ａ々〇", "e\u0301 ẞ\u200d\x00", "", None, "٣ৡ中 中"]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "id int, text string")
+    empty = spark.createDataFrame([], "word string, freq long")
+    found = {r.id: r for r in segment.with_tokens(rows, ["id"], empty).select(
+        "id", "tokens", F.regexp_extract_all("text", F.lit(segment.PIECE), F.lit(0)).alias("pieces")).collect()}
+    for k, text in enumerate(texts):
+        if text is None:
+            assert found[k].tokens is None
+            continue
+        plain = [t for p in found[k].pieces for t in ([p[i:i + 2] for i in range(max(1, len(p) - 1))] if "一" <= p[0] <= "鿕" else [p])]
+        assert [t.term for t in found[k].tokens] == plain
+        assert all(text[t.startpos:t.endpos] == t.term for t in found[k].tokens)
 
 
 def test_hashed_edges_lead_to_every_word():
